@@ -14,6 +14,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from bondloom.session import checkpointed
+
 #: Readings looked at on each side of one.
 REACH = 5
 SERIES = ["series", "reading"]
@@ -42,10 +44,6 @@ def _neighbours(df: DataFrame, parts: list[str]) -> DataFrame:
     return df
 
 
-def _at(k: int) -> Column:
-    return F.col("x") if k == 0 else F.col(f"a{k}") if k > 0 else F.col(f"b{-k}")
-
-
 def _apart(x: Column, left: Column, right: Column, least: Column) -> Column:
     """Both Haar details of ``x`` reach ``least`` with one sign."""
     return F.coalesce(
@@ -91,39 +89,47 @@ def faulty_readings(readings: DataFrame, rules: SpikeRules = SpikeRules()) -> Da
         F.count(F.lit(1)).alias("n"),
         (F.percentile_approx(F.when(detail > 0, detail), F.lit(0.5), F.lit(2000)) * F.lit(1.4826)).alias("sd"),
     )
-    ring = ring.join(scale, SERIES)
-    spikes = _spikes(ring.where(F.col("n") >= rules.min_readings), rules)
-    stuck = _stuck(ring, rules)
-    found = spikes.unionByName(stuck)
+    # The checkpoints are small: a row per series, the few percent of readings that stand
+    # out or repeat, and those found. All that follows starts from them.
+    scale = checkpointed(scale)
+    least = F.greatest(F.col("sd") * rules.spike, F.lit(rules.floor))
+    alone = (F.col("n") >= rules.min_readings) & _apart(F.col("x"), F.col("b1"), F.col("a1"), least)
+    moved = (F.col("n") >= rules.min_readings) & (F.greatest(detail, F.abs(F.col("x") - F.col("a1"))) >= rules.pair)
+    zero = F.coalesce(F.col("x") == F.col("b1"), F.lit(False))
+    repeats = zero | F.coalesce(F.col("x") == F.col("a1"), F.lit(False))
+    ring = ring.join(scale, SERIES).withColumns({"zero": zero, "repeats": repeats, "stands_out": F.coalesce(alone | moved, F.lit(False))})
+    ring = checkpointed(ring.where("repeats or stands_out"))
+    spikes = _spikes(ring.where("stands_out"), rules)
+    stuck = _stuck(ring.where("repeats"), rules)
+    found = checkpointed(spikes.unionByName(stuck))
     again = found.where("copies > 1").select(*key, "fault", F.col("seq").alias("first_seq"))
     copies = raw.join(again, key).where("seq <> first_seq").select(*SERIES, "seq", "fault")
     return impossible.unionByName(found.select(*SERIES, "seq", "fault")).unionByName(copies)
 
 
-def _spikes(ring: DataFrame, rules: SpikeRules) -> DataFrame:
+def _spikes(df: DataFrame, rules: SpikeRules) -> DataFrame:
     least = F.greatest(F.col("sd") * rules.spike, F.lit(rules.floor))
-    wide = F.greatest(least, F.lit(rules.pair))
+    cells = [f"b{k}" for k in range(REACH, 0, -1)] + ["x"] + [f"a{k}" for k in range(1, REACH + 1)]
+    df = df.select(*SERIES, "day", "stamp", "x", "b1", "a1", "seq", "copies", least.alias("least"), F.greatest(least, F.lit(rules.pair)).alias("wide"), F.array(*cells).alias("v"))
 
-    def candidate(k: int) -> Column:
-        single = _apart(_at(k), _at(k - 1), _at(k + 1), least)
+    def candidate(i: Column) -> Column:
+        at = lambda k: F.get("v", i + k)
+        two = lambda x, y, left, right: _apart(x, left, right, F.col("wide")) & _apart(y, left, right, F.col("wide"))
         # Level 2: this reading with the next, or with the one before.
-        ahead = _apart(_at(k), _at(k - 1), _at(k + 2), wide) & _apart(_at(k + 1), _at(k - 1), _at(k + 2), wide) if k + 2 <= REACH else F.lit(False)
-        behind = _apart(_at(k), _at(k - 2), _at(k + 1), wide) & _apart(_at(k - 1), _at(k - 2), _at(k + 1), wide) if k - 2 >= -REACH else F.lit(False)
-        return single | ahead | behind
+        return _apart(at(0), at(-1), at(1), F.col("least")) | two(at(0), at(1), at(-1), at(2)) | two(at(0), at(-1), at(-2), at(1))
 
     # A sound reading between two spikes is apart from both: the nearest readings that are
     # no candidates themselves decide.
-    flags = {k: candidate(k) for k in range(-3, 4)}
-    df = ring.where(flags[0])
-    left = F.coalesce(*[F.when(~flags[-k], _at(-k)) for k in (1, 2, 3)], F.col("b1"))
-    right = F.coalesce(*[F.when(~flags[k], _at(k)) for k in (1, 2, 3)], F.col("a1"))
-    return df.where(_apart(F.col("x"), left, right, least)).select(*SERIES, "day", "stamp", "x", "seq", "copies", F.lit("spike").alias("fault"))
+    df = df.withColumn("flags", F.transform(F.array(*[F.lit(i) for i in range(2, 9)]), candidate)).where(F.get("flags", F.lit(3)))
+    sound = lambda k: F.when(~F.get("flags", F.lit(3 + k)), F.get("v", F.lit(REACH + k)))
+    left = F.coalesce(sound(-1), sound(-2), sound(-3), F.col("b1"))
+    right = F.coalesce(sound(1), sound(2), sound(3), F.col("a1"))
+    return df.where(_apart(F.col("x"), left, right, F.col("least"))).select(*SERIES, "day", "stamp", "x", "seq", "copies", F.lit("spike").alias("fault"))
 
 
 def _stuck(ring: DataFrame, rules: SpikeRules) -> DataFrame:
-    same = F.coalesce(F.col("x") == F.col("b1"), F.lit(False))
     place = F.struct("day", "stamp", "seq")
-    runs = ring.where(same | (F.col("x") == F.col("a1"))).select(*SERIES, "chunk", "day", "stamp", "x", "seq", "copies", "n", same.alias("zero"))
+    runs = ring.select(*SERIES, "chunk", "day", "stamp", "x", "seq", "copies", "n", "zero")
     runs = runs.withColumn("begin", F.when(~F.col("zero"), place))
     # The run's begin: the last in this chunk, else the last of the chunks before.
     in_chunk = Window.partitionBy(*SERIES, "chunk").orderBy("day", "stamp", "seq").rowsBetween(Window.unboundedPreceding, 0)
