@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from bondloom.llm.asknown import as_known
 from bondloom.llm.nearest import nearest_in_time
+from bondloom.llm.pii import personal_details, redact
 from bondloom.session import table
 
 
@@ -24,7 +25,15 @@ def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return known.select("obs_seq", "auction_seq")
 
 
-QUERIES = {"p2_found": p2_found, "p6_found": p6_found}
+def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return personal_details(table(spark, sf_dir, "documents"))
+
+
+def p9_redacted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return redact(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+QUERIES = {"p2_found": p2_found, "p6_found": p6_found, "p9_found": p9_found, "p9_redacted": p9_redacted}
 
 SQL = {
     "p2_found": """
