@@ -6,8 +6,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from bondloom.llm.asknown import as_known
+from bondloom.llm.linkage import best_links, soft_links
 from bondloom.llm.nearest import nearest_in_time
 from bondloom.llm.pii import personal_details, redact
+from bondloom.llm.securities import candidate_pairs, read_lines, read_synthetic
 from bondloom.session import table
 
 
@@ -18,6 +20,17 @@ def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pairs.select("obs_seq", "trade_seq")
 
 
+def p4_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    read = read_lines(table(spark, sf_dir, "quote_lines")).unionByName(read_synthetic(table(spark, sf_dir, "observations")))
+    pairs = candidate_pairs(read, table(spark, sf_dir, "bonds"))
+    links = soft_links(pairs, record="key", entity="isin", alike="alike", pull="pull", weight="weight")
+    return best_links(links, record="key", entity="isin")
+
+
+def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return p4_links(spark, sf_dir).select("isin", F.col("key").alias("other_key"))
+
+
 def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     quotes = table(spark, sf_dir, "observations").where("source = 'pdmo_daily' and (bid_yield is not null or offer_yield is not null)")
     results = table(spark, sf_dir, "auctions").where("kind in ('auction', 'issuance')")
@@ -33,7 +46,7 @@ def p9_redacted(spark: SparkSession, sf_dir: str) -> DataFrame:
     return redact(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
-QUERIES = {"p2_found": p2_found, "p6_found": p6_found, "p9_found": p9_found, "p9_redacted": p9_redacted}
+QUERIES = {"p2_found": p2_found, "p4_found": p4_found, "p4_links": p4_links, "p6_found": p6_found, "p9_found": p9_found, "p9_redacted": p9_redacted}
 
 SQL = {
     "p2_found": """
