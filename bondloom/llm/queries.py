@@ -6,11 +6,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from bondloom.llm.asknown import as_known
+from bondloom.llm.digest import build_digests, certify, digest_quantiles, merge_digests
 from bondloom.llm.linkage import best_links, soft_links
+from bondloom.llm.mixing import draw, shares, sized
 from bondloom.llm.nearest import nearest_in_time
+from bondloom.llm.packing import packed
 from bondloom.llm.pii import personal_details, redact
 from bondloom.llm.securities import candidate_pairs, read_lines, read_synthetic
-from bondloom.session import table
+from bondloom.session import checkpointed, table
 
 
 def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -31,6 +34,55 @@ def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return p4_links(spark, sf_dir).select("isin", F.col("key").alias("other_key"))
 
 
+GROUP = ["table_name", "reading", "isin", "source", "obs_date"]
+
+
+def _yields(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Yield readings in long form, with the row's number."""
+    quotes = table(spark, sf_dir, "observations").where("bid_yield is not null or offer_yield is not null")
+    two = F.explode(F.array(*[F.struct(F.lit(c).alias("reading"), F.col(c).alias("value")) for c in ("bid_yield", "offer_yield")])).alias("r")
+    quotes = quotes.select(F.lit("observations").alias("table_name"), "isin", "source", "obs_date", F.col("obs_seq").alias("seq"), two)
+    trades = table(spark, sf_dir, "trade_summary").where("wavg_yield is not null")
+    trades = trades.select(F.lit("trade_summary").alias("table_name"), "isin", F.lit(None).cast("string").alias("source"), "obs_date", F.col("trade_seq").alias("seq"), F.struct(F.lit("wavg_yield").alias("reading"), F.col("wavg_yield").alias("value")).alias("r"))
+    return quotes.unionByName(trades).where("r.value is not null").select("table_name", "r.reading", "isin", "source", "obs_date", "seq", "r.value")
+
+
+def _grouped(rows: DataFrame) -> DataFrame:
+    """Each reading once in its series' group and once in its day's, with a part of it.
+
+    A series is digested by quarter and a day by the rows' numbers, so that no group is
+    sorted in one task.
+    """
+    none = lambda kind: F.lit(None).cast(kind)
+    quarter = F.floor(F.unix_date("obs_date") / 92).cast("long")
+    groups = F.array(
+        F.struct("isin", "source", none("date").alias("obs_date"), quarter.alias("part")),
+        F.struct(none("string").alias("isin"), none("string").alias("source"), "obs_date", F.pmod(F.xxhash64("seq"), F.lit(4)).alias("part")),
+    )
+    return rows.select("table_name", "reading", "seq", "value", F.explode(groups).alias("g")).select("table_name", "reading", "g.*", "seq", "value")
+
+
+def p5_percentiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _grouped(_yields(spark, sf_dir))
+    digests = merge_digests(build_digests(rows, [*GROUP, "part"], "value"), GROUP)
+    return certify(rows, digest_quantiles(digests, GROUP), GROUP, "value", F.xxhash64("seq"))
+
+
+def p5_certified(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Group sizes, and whether every percentile is within a hundredth in rank."""
+    small = F.greatest(F.lit(0.01), 1 / F.col("n"))
+    return p5_percentiles(spark, sf_dir).select(*GROUP, "n", (F.col("rank_error") <= small).alias("is_within"))
+
+
+def p5_months_from_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Summaries of single days, combined to months, per source."""
+    rows = _yields(spark, sf_dir).where("table_name = 'observations'").withColumn("month", F.trunc("obs_date", "month"))
+    keys = ["reading", "source", "month"]
+    days = build_digests(rows, [*keys, "obs_date"], "value")
+    months = digest_quantiles(merge_digests(days, keys), keys)
+    return certify(rows, months, keys, "value", F.xxhash64("seq"))
+
+
 def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     quotes = table(spark, sf_dir, "observations").where("source = 'pdmo_daily' and (bid_yield is not null or offer_yield is not null)")
     results = table(spark, sf_dir, "auctions").where("kind in ('auction', 'issuance')")
@@ -38,6 +90,27 @@ def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return known.select("obs_seq", "auction_seq")
 
 
+def p7_packed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packed(table(spark, sf_dir, "documents"), table(spark, sf_dir, "containers"))
+
+
+def p7_room(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Containers used of each kind, and how full they are."""
+    each = p7_packed(spark, sf_dir).groupBy("container_kind", "container_id").agg(F.sum("n_tokens").alias("held"))
+    kinds = each.groupBy("container_kind").agg(F.count(F.lit(1)).alias("containers"), F.sum("held").alias("tokens"))
+    kinds = kinds.join(table(spark, sf_dir, "containers"), "container_kind")
+    return kinds.select("container_kind", "capacity_tokens", "containers", "tokens", (F.col("tokens") / (F.col("containers") * F.col("capacity_tokens"))).alias("filled"))
+
+
+def p8_drawn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return draw(checkpointed(sized(table(spark, sf_dir, "documents"))), table(spark, sf_dir, "mix_targets"))
+
+
+def p8_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
+    sizes, targets = checkpointed(sized(table(spark, sf_dir, "documents"))), table(spark, sf_dir, "mix_targets")
+    return shares(sizes, targets, draw(sizes, targets))
+
+
 def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return personal_details(table(spark, sf_dir, "documents"))
 
@@ -46,7 +119,7 @@ def p9_redacted(spark: SparkSession, sf_dir: str) -> DataFrame:
     return redact(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
-QUERIES = {"p2_found": p2_found, "p4_found": p4_found, "p4_links": p4_links, "p6_found": p6_found, "p9_found": p9_found, "p9_redacted": p9_redacted}
+QUERIES = {"p2_found": p2_found, "p4_found": p4_found, "p4_links": p4_links, "p5_percentiles": p5_percentiles, "p5_certified": p5_certified, "p5_months_from_days": p5_months_from_days, "p6_found": p6_found, "p7_packed": p7_packed, "p7_room": p7_room, "p8_drawn": p8_drawn, "p8_shares": p8_shares, "p9_found": p9_found, "p9_redacted": p9_redacted}
 
 SQL = {
     "p2_found": """
@@ -54,6 +127,14 @@ select obs_seq, trade_seq from (
   select o.obs_seq, t.trade_seq, row_number() over (partition by o.obs_seq order by abs(epoch_us(o.stamped_at) - epoch_us(t.printed_at)), t.trade_seq) k
   from observations o join trade_summary t on o.isin = t.isin and t.printed_at between o.stamped_at - interval 6 hour and o.stamped_at + interval 6 hour
   where o.volume_lkr is not null and t.volume_lkr is not null) where k = 1""",
+    "p5_certified": """
+with v as (
+  select 'observations' table_name, 'bid_yield' reading, isin, source, obs_date, bid_yield y from observations
+  union all select 'observations', 'offer_yield', isin, source, obs_date, offer_yield from observations
+  union all select 'trade_summary', 'wavg_yield', isin, null, obs_date, wavg_yield from trade_summary)
+select table_name, reading, isin, source, cast(null as date) obs_date, count(*) n, true is_within from v where y is not null group by 1, 2, 3, 4
+union all
+select table_name, reading, null, null, obs_date, count(*), true from v where y is not null group by 1, 2, 5""",
     "p6_found": """
 select obs_seq, auction_seq from (
   select o.obs_seq, a.auction_seq, row_number() over (partition by o.obs_seq order by a.auction_date desc, a.posted_date desc, a.auction_seq desc) k
