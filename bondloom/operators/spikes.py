@@ -14,11 +14,11 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from bondloom.session import checkpointed
+from bondloom.session import broadcast_if_small, checkpointed
 
 #: Readings looked at on each side of one.
 REACH = 5
-SERIES = ["series", "reading"]
+SERIES = ["series"]
 
 
 @dataclass(frozen=True)
@@ -33,7 +33,7 @@ class SpikeRules:
     floor: float = 0.02
     stuck: int = 6
     stuck_ratio: float = 4.0
-    chunk_days: int = 64
+    chunk_days: int = 256
     min_readings: int = 8
 
 
@@ -53,12 +53,13 @@ def _apart(x: Column, left: Column, right: Column, least: Column) -> Column:
 
 
 def faulty_readings(readings: DataFrame, rules: SpikeRules = SpikeRules()) -> DataFrame:
-    """(series, reading, seq, fault) of the faulty rows of ``readings``.
+    """(tag, seq, fault) of the faulty rows of ``readings``.
 
-    ``readings`` has series (struct or string), reading (string), day (date), stamp
-    (timestamp or null), value (double) and seq (long). Rows of one series, reading, day,
-    stamp and value are copies: they count once and are all reported. ``fault`` is
-    ``impossible``, ``spike`` or ``stuck``; a run's first reading is not reported.
+    ``readings`` has series (any type), tag (int, told back; one per series), day (date),
+    stamp (timestamp or null), value (double) and seq (long). Rows of one series, day, stamp
+    and value are copies: they count once and are all reported. ``fault`` is ``impossible``,
+    ``spike`` or ``stuck``; a run's first reading is not reported. Inside, a series goes by
+    a 64-bit digest of its name, which keeps the sorted rows narrow.
 
     Nulls: rows with a null series, day, value or seq are left out, NaN counts as null.
     A series shorter than ``min_readings`` has no scale and only its impossible readings
@@ -68,14 +69,14 @@ def faulty_readings(readings: DataFrame, rules: SpikeRules = SpikeRules()) -> Da
     A series is sorted in chunks of ``chunk_days`` and its chunk edges once more together,
     so that a hot series is spread over its chunks and every reading sees its neighbours.
     """
-    raw = readings.select("series", "reading", "day", F.coalesce(F.col("stamp"), F.timestamp_seconds(F.lit(0))).alias("stamp"), F.col("value").alias("x"), "seq")
-    raw = raw.where(F.col("series").isNotNull() & F.col("day").isNotNull() & F.col("seq").isNotNull() & F.col("x").isNotNull() & ~F.isnan("x"))
+    raw = readings.where(F.col("series").isNotNull()).select(F.xxhash64("series").alias("series"), "tag", "day", F.coalesce(F.col("stamp"), F.timestamp_seconds(F.lit(0))).alias("stamp"), F.col("value").alias("x"), "seq")
+    raw = raw.where(F.col("day").isNotNull() & F.col("seq").isNotNull() & F.col("x").isNotNull() & ~F.isnan("x"))
     possible = (F.col("x") >= rules.low) & (F.col("x") <= rules.high)
-    impossible = raw.where(~possible).select(*SERIES, "seq", F.lit("impossible").alias("fault"))
+    impossible = raw.where(~possible).select("tag", "seq", F.lit("impossible").alias("fault"))
 
     key = [*SERIES, "day", "stamp", "x"]
     raw = raw.where(possible).withColumn("chunk", F.floor(F.unix_date("day") / rules.chunk_days).cast("int"))
-    one = raw.repartition(*SERIES, "chunk").groupBy(*SERIES, "chunk", "day", "stamp", "x").agg(F.min("seq").alias("seq"), F.count(F.lit(1)).alias("copies"))
+    one = raw.repartition(*SERIES, "chunk").groupBy(*SERIES, "chunk", "day", "stamp", "x").agg(F.min("seq").alias("seq"), F.first("tag").alias("tag"), F.count(F.lit(1)).alias("copies"))
     order = Window.partitionBy(*SERIES, "chunk").orderBy("day", "stamp", "seq")
     placed = one.withColumn("from_start", F.row_number().over(order))
     placed = placed.withColumn("to_end", F.count(F.lit(1)).over(Window.partitionBy(*SERIES, "chunk")) - F.col("from_start") + 1)
@@ -97,20 +98,20 @@ def faulty_readings(readings: DataFrame, rules: SpikeRules = SpikeRules()) -> Da
     moved = (F.col("n") >= rules.min_readings) & (F.greatest(detail, F.abs(F.col("x") - F.col("a1"))) >= rules.pair)
     zero = F.coalesce(F.col("x") == F.col("b1"), F.lit(False))
     repeats = zero | F.coalesce(F.col("x") == F.col("a1"), F.lit(False))
-    ring = ring.join(scale, SERIES).withColumns({"zero": zero, "repeats": repeats, "stands_out": F.coalesce(alone | moved, F.lit(False))})
+    ring = ring.join(broadcast_if_small(scale), SERIES).withColumns({"zero": zero, "repeats": repeats, "stands_out": F.coalesce(alone | moved, F.lit(False))})
     ring = checkpointed(ring.where("repeats or stands_out"))
     spikes = _spikes(ring.where("stands_out"), rules)
     stuck = _stuck(ring.where("repeats"), rules)
     found = checkpointed(spikes.unionByName(stuck))
     again = found.where("copies > 1").select(*key, "fault", F.col("seq").alias("first_seq"))
-    copies = raw.join(again, key).where("seq <> first_seq").select(*SERIES, "seq", "fault")
-    return impossible.unionByName(found.select(*SERIES, "seq", "fault")).unionByName(copies)
+    copies = raw.join(broadcast_if_small(again), key).where("seq <> first_seq").select("tag", "seq", "fault")
+    return impossible.unionByName(found.select("tag", "seq", "fault")).unionByName(copies)
 
 
 def _spikes(df: DataFrame, rules: SpikeRules) -> DataFrame:
     least = F.greatest(F.col("sd") * rules.spike, F.lit(rules.floor))
     cells = [f"b{k}" for k in range(REACH, 0, -1)] + ["x"] + [f"a{k}" for k in range(1, REACH + 1)]
-    df = df.select(*SERIES, "day", "stamp", "x", "b1", "a1", "seq", "copies", least.alias("least"), F.greatest(least, F.lit(rules.pair)).alias("wide"), F.array(*cells).alias("v"))
+    df = df.select(*SERIES, "day", "stamp", "x", "b1", "a1", "tag", "seq", "copies", least.alias("least"), F.greatest(least, F.lit(rules.pair)).alias("wide"), F.array(*cells).alias("v"))
 
     def candidate(i: Column) -> Column:
         at = lambda k: F.get("v", i + k)
@@ -124,12 +125,12 @@ def _spikes(df: DataFrame, rules: SpikeRules) -> DataFrame:
     sound = lambda k: F.when(~F.get("flags", F.lit(3 + k)), F.get("v", F.lit(REACH + k)))
     left = F.coalesce(sound(-1), sound(-2), sound(-3), F.col("b1"))
     right = F.coalesce(sound(1), sound(2), sound(3), F.col("a1"))
-    return df.where(_apart(F.col("x"), left, right, F.col("least"))).select(*SERIES, "day", "stamp", "x", "seq", "copies", F.lit("spike").alias("fault"))
+    return df.where(_apart(F.col("x"), left, right, F.col("least"))).select(*SERIES, "day", "stamp", "x", "tag", "seq", "copies", F.lit("spike").alias("fault"))
 
 
 def _stuck(ring: DataFrame, rules: SpikeRules) -> DataFrame:
     place = F.struct("day", "stamp", "seq")
-    runs = ring.select(*SERIES, "chunk", "day", "stamp", "x", "seq", "copies", "n", "zero")
+    runs = ring.select(*SERIES, "chunk", "day", "stamp", "x", "tag", "seq", "copies", "n", "zero")
     runs = runs.withColumn("begin", F.when(~F.col("zero"), place))
     # The run's begin: the last in this chunk, else the last of the chunks before.
     in_chunk = Window.partitionBy(*SERIES, "chunk").orderBy("day", "stamp", "seq").rowsBetween(Window.unboundedPreceding, 0)
@@ -137,7 +138,7 @@ def _stuck(ring: DataFrame, rules: SpikeRules) -> DataFrame:
     before = Window.partitionBy(*SERIES).orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)
     carried = by_chunk.select(*SERIES, "chunk", F.max("top").over(before).alias("carried"))
     runs = runs.withColumn("own", F.max("begin").over(in_chunk)).join(carried, [*SERIES, "chunk"])
-    runs = runs.select(*SERIES, "day", "stamp", "x", "seq", "copies", "n", "zero", F.coalesce("own", "carried").alias("begin"))
+    runs = runs.select(*SERIES, "day", "stamp", "x", "tag", "seq", "copies", "n", "zero", F.coalesce("own", "carried").alias("begin"))
     lengths = runs.groupBy(*SERIES, "begin").agg(F.count(F.lit(1)).alias("length"), F.first("n").alias("n"))
     # The length of the run that the series' median reading is part of. Readings outside
     # the runs have length 1.
@@ -151,4 +152,4 @@ def _stuck(ring: DataFrame, rules: SpikeRules) -> DataFrame:
     long_runs = lengths.where(F.col("length") >= rules.stuck).join(usual, SERIES)
     long_runs = long_runs.where(F.col("length") > F.col("usual") * rules.stuck_ratio).select(*SERIES, "begin")
     hit = runs.where("zero").join(long_runs, [*SERIES, "begin"])
-    return hit.select(*SERIES, "day", "stamp", "x", "seq", "copies", F.lit("stuck").alias("fault"))
+    return hit.select(*SERIES, "day", "stamp", "x", "tag", "seq", "copies", F.lit("stuck").alias("fault"))

@@ -10,25 +10,25 @@ from bondloom.operators.spikes import faulty_readings
 from bondloom.session import table
 
 
+#: Tags of the readings: table and column.
+READINGS = (("observations", "bid_yield"), ("observations", "mid_yield"), ("trade_summary", "wavg_yield"))
+
+
 def yield_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Yield readings of both tables in long form, for ``faulty_readings``."""
-    obs = table(spark, sf_dir, "observations")
-    two = F.explode(F.array(*[F.struct(F.lit(c).alias("reading"), F.col(c).alias("value")) for c in ("bid_yield", "mid_yield")]))
-    quotes = obs.where("bid_yield is not null or mid_yield is not null").select(
-        F.struct(F.lit("observations").alias("table_name"), "isin", "source").alias("series"), F.col("obs_date").alias("day"), F.col("stamped_at").alias("stamp"), F.col("obs_seq").alias("seq"), two.alias("r")
-    )
-    quotes = quotes.where("series.isin is not null and r.value is not null").select("series", "r.reading", "day", "stamp", "r.value", "seq")
+    two = F.explode(F.array(*[F.struct(F.lit(k).alias("tag"), F.col(READINGS[k][1]).alias("value")) for k in (0, 1)])).alias("r")
+    quotes = table(spark, sf_dir, "observations").where("isin is not null and (bid_yield is not null or mid_yield is not null)")
+    quotes = quotes.select("isin", "source", F.col("obs_date").alias("day"), F.col("stamped_at").alias("stamp"), F.col("obs_seq").alias("seq"), two).where("r.value is not null")
     # Amended rows carry another print time, so a trade reading is known by its day alone.
-    trades = table(spark, sf_dir, "trade_summary").where("wavg_yield is not null and isin is not null").select(
-        F.struct(F.lit("trade_summary").alias("table_name"), "isin", F.lit("").alias("source")).alias("series"),
-        F.lit("wavg_yield").alias("reading"), F.col("obs_date").alias("day"), F.lit(None).cast("timestamp").alias("stamp"), F.col("wavg_yield").alias("value"), F.col("trade_seq").alias("seq"),
-    )
-    return quotes.unionByName(trades)
+    trades = table(spark, sf_dir, "trade_summary").where("wavg_yield is not null and isin is not null")
+    trades = trades.select("isin", F.lit(None).cast("string").alias("source"), F.col("obs_date").alias("day"), F.lit(None).cast("timestamp").alias("stamp"), F.col("trade_seq").alias("seq"), F.struct(F.lit(2).alias("tag"), F.col("wavg_yield").alias("value")).alias("r"))
+    return quotes.unionByName(trades).select(F.struct("isin", "source", "r.tag").alias("series"), "r.tag", "day", "stamp", "r.value", "seq")
 
 
 def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = faulty_readings(yield_readings(spark, sf_dir))
-    return found.select("series.table_name", F.col("seq").alias("row_seq"), "reading")
+    name = lambda k: F.get(F.array(*[F.lit(r[k]) for r in READINGS]), F.col("tag"))
+    return found.select(name(0).alias("table_name"), F.col("seq").alias("row_seq"), name(1).alias("reading"))
 
 
 def p3_trailing(spark: SparkSession, sf_dir: str) -> DataFrame:

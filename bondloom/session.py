@@ -6,6 +6,7 @@ import os
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
@@ -50,3 +51,8 @@ def checkpointed(df: DataFrame) -> DataFrame:
             folder = os.path.join(tempfile.gettempdir(), f"bondloom-checkpoint-{sc.applicationId}")
         sc.setCheckpointDir(folder)
     return df.checkpoint(eager=True)
+
+
+def broadcast_if_small(df: DataFrame, most_rows: int = 200_000) -> DataFrame:
+    """A broadcast side if a checkpointed ``df`` of narrow rows is short, else ``df`` as it is."""
+    return F.broadcast(df) if df.count() <= most_rows else df
