@@ -22,6 +22,8 @@ SIZE = 500
 QUANTILES = (0.01, 0.05, 0.25, 0.5, 0.75, 0.95, 0.99)
 #: Parts that a group's rows are counted in, so that a hot group is not one task's.
 PARTS = 8
+#: Groups whose quantiles, under 100 bytes each, may be broadcast.
+FEW_GROUPS = 100_000
 CENTROID = ["mean", "weight", "least", "most"]
 
 
@@ -31,14 +33,12 @@ def _scale(q: Column, size: int) -> Column:
 
 
 def _cluster(df: DataFrame, keys: Sequence[str], size: int) -> DataFrame:
-    """Clusters rows of CENTROID per ``keys``; a value is a centroid of weight 1."""
-    # Equal values first become one, in the exchange that the sort needs anyway. One that
-    # is wider than a cluster stays by itself, so that a heavy tie is answered exactly.
-    df = df.repartition(*keys).groupBy(*keys, "mean", "least", "most").agg(F.sum("weight").alias("weight"))
+    """Clusters rows of CENTROID, already exchanged by ``keys``."""
     order = Window.partitionBy(*keys).orderBy("mean", "least", "weight")
     total = F.sum("weight").over(Window.partitionBy(*keys))
     df = df.withColumns({"_total": total, "_upto": F.sum("weight").over(order.rowsBetween(Window.unboundedPreceding, 0))})
     at = lambda part: _scale((F.col("_upto") - F.col("weight") * part) / F.col("_total"), size)
+    # A value that is wider than a cluster stays by itself, so that a heavy tie is answered exactly.
     heavy = F.when((F.col("least") == F.col("most")) & (at(0) - at(1) >= 1), F.col("mean"))
     df = df.withColumns({"_k": F.floor(at(0.5)), "_heavy": heavy})
     merged = df.groupBy(*keys, "_k", "_heavy").agg(
@@ -54,16 +54,19 @@ def _cluster(df: DataFrame, keys: Sequence[str], size: int) -> DataFrame:
 def build_digests(df: DataFrame, keys: Sequence[str], value: str, size: int = SIZE) -> DataFrame:
     """A digest per ``keys``: rows of keys and CENTROID. Null and NaN values are left out.
 
-    Null keys form a group of their own. An empty table gives no rows.
+    Only keys and values are exchanged; equal values become one there. Null keys form a
+    group of their own. An empty table gives no rows.
     """
     v = F.col(value).cast("double")
-    rows = df.where(v.isNotNull() & ~F.isnan(v)).select(*keys, v.alias("mean"), F.lit(1.0).alias("weight"), v.alias("least"), v.alias("most"))
-    return _cluster(rows, keys, size)
+    rows = df.where(v.isNotNull() & ~F.isnan(v)).select(*keys, v.alias("mean")).repartition(*keys)
+    rows = rows.groupBy(*keys, "mean").agg(F.count(F.lit(1)).cast("double").alias("weight"))
+    return _cluster(rows.withColumns({"least": F.col("mean"), "most": F.col("mean")}), keys, size)
 
 
 def merge_digests(digests: DataFrame, keys: Sequence[str], size: int = SIZE) -> DataFrame:
     """Digests of coarser ``keys`` from those of finer ones."""
-    return _cluster(digests.select(*keys, *CENTROID), keys, size)
+    same = digests.select(*keys, *CENTROID).repartition(*keys).groupBy(*keys, "mean", "least", "most").agg(F.sum("weight").alias("weight"))
+    return _cluster(same, keys, size)
 
 
 def name_of(q: float) -> str:
@@ -99,16 +102,20 @@ def certify(df: DataFrame, quantile_rows: DataFrame, keys: Sequence[str], value:
     """``quantile_rows`` with ``rank_error``: the largest distance, as a share of n, between
     a quantile and the ranks that its value has in ``df``, found by counting again.
 
-    ``part`` spreads the rows of a group; each of PARTS parts meets a copy of the group's
-    quantiles, and the counts of the parts are summed.
+    The quantiles of up to FEW_GROUPS groups are sent to the rows. Beyond that both sides
+    are exchanged: ``part`` spreads the rows of a group, each of PARTS parts meets a copy of
+    the group's quantiles. Counts are summed where the rows are before they are exchanged.
     """
     quantile_rows = checkpointed(quantile_rows)  # a row per group, read twice
     names = [name_of(q) for q in quantiles]
-    side = quantile_rows.select(*[F.col(k).alias(f"_{k}") for k in keys], F.array(*names).alias("_q"), F.explode(F.sequence(F.lit(0), F.lit(PARTS - 1))).alias("_part"))
+    side = quantile_rows.select(*[F.col(k).alias(f"_{k}") for k in keys], F.array(*names).alias("_q"))
     v = F.col(value).cast("double")
     rows = df.where(v.isNotNull() & ~F.isnan(v)).select(*keys, v.alias("_v"), F.pmod(part, F.lit(PARTS)).cast("int").alias("_p"))
     same = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys]
-    met = rows.join(side, [*same, F.col("_p") == F.col("_part")])
+    if quantile_rows.count() <= FEW_GROUPS:
+        met = rows.join(F.broadcast(side), same)
+    else:
+        met = rows.join(side.withColumn("_part", F.explode(F.sequence(F.lit(0), F.lit(PARTS - 1)))), [*same, F.col("_p") == F.col("_part")])
     counts = [c for i in range(len(names)) for c in (F.count_if(F.col("_v") < F.get("_q", F.lit(i))).alias(f"_lt{i}"), F.count_if(F.col("_v") <= F.get("_q", F.lit(i))).alias(f"_le{i}"))]
     counted = met.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), *counts)
     off = [F.greatest(F.lit(0.0), F.col(f"_lt{i}") / F.col("_n") - q, q - F.col(f"_le{i}") / F.col("_n")) for i, q in enumerate(quantiles)]

@@ -48,24 +48,26 @@ def _yields(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _grouped(rows: DataFrame) -> DataFrame:
-    """Each reading once in its series' group and once in its day's, with a part of it.
-
-    A series is digested by quarter and a day by the rows' numbers, so that no group is
-    sorted in one task.
-    """
+    """Each reading once in its series' group and once in its day's: (digest of the group,
+    part, value). A series is digested by year and a day in two parts, so that no group is
+    sorted in one task."""
     none = lambda kind: F.lit(None).cast(kind)
-    quarter = F.floor(F.unix_date("obs_date") / 92).cast("long")
+    of = lambda *group: F.xxhash64("table_name", "reading", *group)
+    year = F.floor(F.unix_date("obs_date") / 366).cast("int")
+    series, day = ("isin", "source", none("date")), (none("string"), none("string"), "obs_date")
     groups = F.array(
-        F.struct("isin", "source", none("date").alias("obs_date"), quarter.alias("part")),
-        F.struct(none("string").alias("isin"), none("string").alias("source"), "obs_date", F.pmod(F.xxhash64("seq"), F.lit(4)).alias("part")),
+        F.struct(of(F.lit("series"), *series[:2]).alias("group"), year.alias("part"), *[F.col(c).alias(c) if isinstance(c, str) else c.alias("obs_date") for c in series]),
+        F.struct(of(F.lit("day"), "obs_date").alias("group"), F.pmod(F.xxhash64("seq"), F.lit(2)).cast("int").alias("part"), day[0].alias("isin"), day[1].alias("source"), F.col("obs_date")),
     )
     return rows.select("table_name", "reading", "seq", "value", F.explode(groups).alias("g")).select("table_name", "reading", "g.*", "seq", "value")
 
 
 def p5_percentiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _grouped(_yields(spark, sf_dir))
-    digests = merge_digests(build_digests(rows, [*GROUP, "part"], "value"), GROUP)
-    return certify(rows, digest_quantiles(digests, GROUP), GROUP, "value", F.xxhash64("seq"))
+    digests = merge_digests(build_digests(rows, ["group", "part"], "value"), ["group"])
+    certified = certify(rows, digest_quantiles(digests, ["group"]), ["group"], "value", F.xxhash64("seq"))
+    names = rows.groupBy("group").agg(*[F.first(c, True).alias(c) for c in GROUP])
+    return names.join(certified, "group").drop("group")
 
 
 def p5_certified(spark: SparkSession, sf_dir: str) -> DataFrame:
