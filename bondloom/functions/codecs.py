@@ -22,7 +22,7 @@ def canonical_label(label: Column) -> Column:
     clean = F.regexp_replace(label, "[\\s'’\"]", "")
     year = F.regexp_extract(clean, r"%(\d{4})([A-Z]?)$", 1)
     letter = F.regexp_extract(clean, r"%(\d{4})([A-Z]?)$", 2)
-    rates = F.array_join(F.transform(steps(clean), lambda x: F.format_number(x, "0.00")), "%")
+    rates = F.array_join(F.transform(steps(clean), lambda x: F.format_string("%.2f", x)), "%")
     return F.when(year != "", F.concat(rates, F.lit("%"), year, letter))
 
 

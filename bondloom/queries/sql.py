@@ -62,3 +62,55 @@ ps as (select a.obs_date, isin_a, isin_b, a.residual_bp - b.residual_bp spread_b
 sz1 as (select *, count(*) over p n_window, avg(spread_bp) over p m, stddev_samp(spread_bp) over p s from ps
   window p as (partition by isin_a, isin_b order by obs_date rows between 60 preceding and 1 preceding)),
 sz as (select obs_date, isin_a, isin_b, spread_bp, n_window, (spread_bp - m) / s zscore from sz1 where n_window >= 30 and s > 0.5e0)"""
+
+_P2 = "(select * from pt where point = 2)"
+
+#: Further parts: shape, market, dealing.
+MARKET = rf""",
+pw as (select obs_date, point, tau, residual_bp, spread_bp, case when abs((tau - point) / 0.75e0) <= 3 then coalesce(weight, 1) * exp(-0.5e0 * ((tau - point) / 0.75e0) ** 2) else 0 end k
+  from res, (select unnest([2e0, 5e0, 8e0, 10e0, 12e0]) point)),
+px as (select obs_date, point, sum(k) k, sum(k * residual_bp) kr, median(spread_bp) filter (abs(tau - point) <= 1) / 2 half_bp from pw group by 1, 2),
+pt as (select obs_date, point, {_fitted('point')} curve_yield, {_fitted('point')} + case when k > 0 then kr / k / 100 else 0 end point_yield, half_bp from px join fit using (obs_date)),
+cs as (select l.obs_date, '2s' || cast(l.point as int) || 's' pair, (l.point_yield - s.point_yield) * 100 spread_bp, (l.curve_yield - s.curve_yield) * 100 curve_only_bp, l.half_bp + s.half_bp cost_bp
+  from pt l join {_P2} s using (obs_date) where l.point > 2),
+cz1 as (select *, count(*) over p c, avg(spread_bp) over p m, stddev_samp(spread_bp) over p s from cs window p as (partition by pair order by obs_date rows between 60 preceding and 1 preceding)),
+cz as (select obs_date, pair, spread_bp, curve_only_bp, cost_bp, case when c >= 30 and s > 0.5e0 then (spread_bp - m) / s end zscore from cz1),
+cf as (select *, lead(spread_bp, 11) over p - lead(spread_bp, 1) over p fwd from cz window p as (partition by pair order by obs_date)),
+cr as (select pair, count(*) n, case when count(*) >= 20 then avg(-sign(zscore) * fwd) end reversion_bp from cf where abs(zscore) >= 1.5e0 and fwd is not null group by 1),
+sd as (select min(obs_date) d from fit group by date_trunc('month', obs_date)),
+av as (select auction_date, isin, kind, r.* from (select auction_date, isin, kind, arg_max(struct_pack(offered := offered_lkr, bids := bids_lkr), auction_seq) r from auctions group by 1, 2, 3)),
+tb as (select obs_date, isin, r.y y, r.v v, r.n n from tv where r.s = 'TBond'),
+th as (select d, coalesce(max(obs_date), d) thr from sd left join tb on obs_date <= d and d - obs_date <= 7 group by d),
+fl as (select d, isin, coalesce(sum(v), 0) tu, coalesce(sum(n), 0) nt, count(*) dt from th join tb on obs_date <= thr and obs_date > thr - 60 group by 1, 2),
+so as (select d, isin, min(d - auction_date) ds from sd join av on auction_date <= d and auction_date >= d - 120 group by 1, 2),
+kn as (select d, isin, d - max(obs_date) dl, arg_max(y, obs_date) yl from sd join tb on obs_date <= d where y is not null group by 1, 2),
+cv as (select d, isin, arg_max(bids / offered, auction_date) bc from sd join av on auction_date <= d where kind = 'auction' and bids is not null and offered > 0 group by 1, 2),
+ke as (select d, isin from fl union select d, isin from so union select d, isin from kn),
+liq as (select ke.d asof_day, ke.isin, cast(coalesce(tu, 0) as bigint) turnover_lkr, cast(coalesce(nt, 0) as bigint) n_trades, coalesce(dt, 0) days_traded, ds is not null is_benchmark, cast(ds as int) days_since_auction,
+  coalesce(ds <= 14, false) post_auction, bc bid_to_cover, cast(dl as int) days_since_trade, yl last_trade_yield,
+  case when ds is not null and coalesce(dt, 0) >= 8 then 'core' when coalesce(dt, 0) >= 10 then 'active' else 'wider' end tier
+  from ke left join fl using (d, isin) left join so using (d, isin) left join kn using (d, isin) left join cv using (d, isin)),
+bl as (select obs_date, r.y y, r.v v, make_date(2000 + cast(substr(isin, 7, 2) as int), ascii(substr(isin, 9, 1)) - 64, cast(substr(isin, 10, 2) as int)) - obs_date rem
+  from tv where r.s = 'Tbill' and r.y is not null and r.v > 0 and isin like 'LKA%'),
+bs as (select d, obs_date, y, v from sd join bl on obs_date <= d and obs_date > d - 30 where rem between 240 and 380),
+bn as (select *, max(obs_date) over (partition by d) mx from bs),
+fund as (select d asof_day, sum(y * v) / sum(v) bill_pct, cast(d - any_value(mx) as int) stale_days, count(*) n_bills from bn where obs_date > mx - 5 group by d),
+pf as (select q.obs_date, q.isin, q.tau, q.mid, coupon_pct, list_filter(list_transform(range(0, greatest(cast(ceil(2 * tau - 1e-9) as int), 1)), lambda k: tau - k / 2e0), lambda x: x > 1e-9) tm
+  from q join bonds using (isin) where coupon_pct is not null),
+pd1 as (select *, list_sum(list_transform(tm, lambda x: (coupon_pct / 2 + case when x >= tau - 1e-9 then 100 else 0 end) / (1 + mid / 200) ** (2 * x))) price,
+  list_sum(list_transform(tm, lambda x: x * (coupon_pct / 2 + case when x >= tau - 1e-9 then 100 else 0 end) / (1 + mid / 200) ** (2 * x))) mo from pf),
+pd as (select obs_date, isin, tau, mid, price, mo / price / (1 + mid / 200) duration from pd1),
+car as (select p.obs_date, p.isin, price, duration, (p.mid - (bill_pct + 0.05e0)) * 100 carry_bp,
+  duration * (({_fitted('p.tau')}) - ({_fitted('greatest(p.tau - 0.25e0, 0.02e0)')})) * 100 / 0.25e0 roll_bp
+  from pd p join fund on asof_day = p.obs_date join fit using (obs_date)),
+gp as (select r.obs_date, r.isin, r.tau, t.traded, (t.traded - r.mid) * 100 gap_bp from res r join t using (obs_date, isin)),
+di as (select obs_date, row_number() over (order by obs_date) - 1 idx from (select distinct obs_date from res)),
+gx as (select gp.*, idx from gp join di using (obs_date)),
+mk1 as (select di.idx, count(*) filter (di.idx - g.idx < 2) n2, median(gap_bp) filter (di.idx - g.idx < 2) g2, count(*) filter (di.idx - g.idx < 5) n5, median(gap_bp) filter (di.idx - g.idx < 5) g5, count(*) n20, median(gap_bp) g20
+  from di join gx g on g.idx <= di.idx and g.idx > di.idx - 20 group by 1),
+mk as (select idx, case when n2 >= 5 then g2 when n5 >= 5 then g5 when n20 >= 5 then g20 end market_bp, case when n2 >= 5 then 2 when n5 >= 5 then 5 when n20 >= 5 then 20 end market_rows, g20 old_bp from mk1),
+bk1 as (select t.isin, t.obs_date, a.idx - lag idx, lag, (t.traded - r.mid) * 100 missed from t join di a using (obs_date) join di b on b.idx = a.idx - 1 join res r on r.obs_date = b.obs_date and r.isin = t.isin, (values (1), (2)) v(lag) where a.idx >= 60),
+bk2 as (select s.*, g.idx gi, g.gap_bp from bk1 s asof left join gx g on s.isin = g.isin and s.idx >= g.idx),
+bk3 as (select bk2.*, market_bp, old_bp, bk2.idx - gi own_age, case when gap_bp is null then 0 else 0.5e0 ** ((bk2.idx - gi) / 2e0) end wt,
+  coalesce(market_bp + greatest(-40, least(40, gap_bp - market_bp)), 0) own from bk2 join mk on mk.idx = bk2.idx where market_bp is not null),
+bk as (select obs_date, isin, lag, missed screen_error, missed - coalesce(old_bp, 0) old_error, missed - market_bp market_error, missed - (wt * own + (1 - wt) * market_bp) error, own_age from bk3)"""
