@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -30,8 +34,27 @@ def local_session(cpus: int = 8, memory: str = "8g", partitions: int = 8) -> Spa
     return spark
 
 
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Sends this package to the executors once, for the operators that run Python there."""
+    sc = spark.sparkContext
+    if sc.applicationId not in _shipped:
+        package = Path(__file__).parent
+        folder = tempfile.mkdtemp(prefix="bondloom-")  # the driver serves it while it runs
+        atexit.register(shutil.rmtree, folder, ignore_errors=True)
+        archive = Path(folder, "bondloom.zip")
+        with zipfile.ZipFile(archive, "w") as file:
+            for source in sorted(package.rglob("*.py")):
+                file.write(source, source.relative_to(package.parent))
+        sc.addPyFile(str(archive))
+        _shipped.add(sc.applicationId)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One table of a data folder."""
+    ship(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
