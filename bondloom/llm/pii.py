@@ -39,6 +39,8 @@ AFFIX_SHARE, AFFIX_WORDS = 0.5, 3
 PLAIN_SUPPORT, PLAIN_SHARE = 20, 0.03
 #: The affixes' length; endings one letter shorter need PAIR_WORDS words.
 AFFIX, PAIR_WORDS, PAIR_SHARE = 3, 8, 0.6
+#: Words up to this length may be a name in capitals and something else in small letters.
+SHORT = 4
 
 _OR = "|".join
 _TITLE = rf"(?:(?:{_OR(TITLES)})\.?)"
@@ -77,7 +79,12 @@ _STOPPED = re.compile(r"\s*(?:[^\w\s]|\n|$)")
 
 def _bucket(word: str) -> int:
     """One of 2**20 numbers: a set of them is bounded whatever the corpus holds."""
-    return zlib.crc32(word.lower().encode()) & 0xFFFFF
+    return zlib.crc32(word.encode()) & 0xFFFFF
+
+
+def _term(word: str) -> str:
+    """A word as a term: a short one in capitals is another than in small letters."""
+    return word.title() if len(word) <= SHORT and word[0].isupper() else word.lower()
 
 
 @dataclass
@@ -94,9 +101,8 @@ class Disclosing:
     sites: frozenset[int] = frozenset()
 
     def word(self, word: str) -> bool:
-        low = word.lower()
+        low, bucket = word.lower(), _bucket(_term(word))
         alike = len(low) > AFFIX and low[:AFFIX] in self.starts and (low[-AFFIX:] in self.ends or low[1 - AFFIX :] in self.ends)
-        bucket = _bucket(low)
         return bucket in self.words or (alike and bucket not in self.plain)
 
 
@@ -120,7 +126,7 @@ def count_terms(text: str, counts: Counter) -> None:
             counts["site", site.group(1).lower(), True] += 1
     # Mail addresses repeat their owner's name; a word that stands beside one is in a protected place.
     text = _EMAIL.sub("\0", text)
-    words = {m.span(): m.group().lower() for m in _WORD.finditer(text)}
+    words = {m.span(): _term(m.group()) for m in _WORD.finditer(text)}
     for word in words.values():
         counts["word", word, False] += 1
     places = {m.span(1) for pattern in (_CUE, _BESIDE) for m in pattern.finditer(text)}
@@ -155,7 +161,7 @@ def disclosing_terms(documents: DataFrame, text: str = "text") -> Disclosing:
     """The bounded set of affixes, short words and number shapes that disclose."""
     terms = checkpointed(disclosure(documents, text))
     words = terms.where("kind = 'word'").select("term", "discloses", "n", "share")
-    start, end, pair = F.substring("term", 1, AFFIX), F.expr(f"right(term, {AFFIX})"), F.expr(f"right(term, {AFFIX - 1})")
+    start, end, pair = F.lower(F.substring("term", 1, AFFIX)), F.expr(f"right(term, {AFFIX})"), F.expr(f"right(term, {AFFIX - 1})")
     sides = [F.struct(F.lit(side).alias("side"), key.alias("key")) for side, key in (("start", start), ("end", end), ("pair", pair))]
     affixes = words.where(F.length("term") > AFFIX).select("discloses", F.explode(F.array(*sides)).alias("a"))
     kept = affixes.groupBy("a.side", "a.key").agg(F.sum(F.col("discloses").cast("int")).alias("yes"), F.count(F.lit(1)).alias("all"))
@@ -203,7 +209,8 @@ def _people(text: str, known: Disclosing, taken: list[tuple[int, int]]) -> Itera
             if gap == ", ":
                 break
         ahead = _INITIALS.search(text, max(0, start - 12), start)
-        if ahead:
+        # The last letter of an identity number before a stop is no initial.
+        if ahead and not any(a < start and ahead.start() < b for a, b in taken):
             start, initials = ahead.start(), True
         titled = _TITLED.search(text, max(0, start - 12), start)
         if (count > 1 or initials or titled) and not any(a < end and start < b for a, b in taken):
@@ -217,7 +224,7 @@ def _address_end(text: str, found: re.Match, known: Disclosing) -> int:
     if group is None or " " not in found.group(group):
         return found.end()
     whole = found.end(group)
-    sure = _bucket(found.group(group).rpartition(" ")[2]) in known.sites or found.end() > whole
+    sure = _bucket(found.group(group).rpartition(" ")[2].lower()) in known.sites or found.end() > whole
     if sure or _STOPPED.match(text, whole):
         return found.end()
     return found.start(group) + found.group(group).rindex(" ")
