@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from bondloom.session import checkpointed
 
 #: Step of the method, rounds, and rounds between two written states.
-RHO, ROUNDS, EVERY = 2.0, 12, 3
+RHO, ROUNDS, EVERY = 10.0, 12, 3
 
 
 def soft_links(

@@ -151,7 +151,7 @@ def disclosure(documents: DataFrame, text: str = "text") -> DataFrame:
     counts = counts.groupBy("kind", "term").agg(F.sum("n").alias("n"), F.sum("announced").alias("announced"))
     base = counts.groupBy("kind").agg((F.sum("announced") / F.sum("n")).alias("base"))
     share = F.col("announced") / F.col("n")
-    scored = counts.join(F.broadcast(base), "kind").select("kind", "term", "n", "announced", share.alias("share"), (share / F.col("base")).alias("lift"))
+    scored = counts.join(F.broadcast(base), "kind").select("kind", "term", "n", "announced", share.alias("share"), F.coalesce(F.try_divide(share, F.col("base")), F.lit(0.0)).alias("lift"))
     enough = (F.col("announced") >= F.when(F.col("kind") == "word", 1).otherwise(SUPPORT)) & (F.col("share") >= SHARE)
     # Number candidates are few and mostly announced, so only words are held against chance.
     return scored.withColumn("discloses", enough & ((F.col("kind") != "word") | (F.col("lift") >= LIFT)))

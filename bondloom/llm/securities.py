@@ -101,8 +101,8 @@ def read_synthetic(keys: DataFrame, column: str = "isin") -> DataFrame:
     parts = F.split(column, ":")
     distinct = keys.where(F.col(column).startswith("SYN:")).select(column).distinct()
     none = {"label_year": "int", "label_month": "int", "letter": "string", "year": "int", "tenor": "int", "by_days": "date"}
-    day = F.try_to_date(parts[1], "yyyy-MM-dd")
-    out = distinct.select(F.col(column).alias("key"), F.array().cast("array<double>").alias("rates"), F.array_compact(F.array(day)).alias("days"), F.expr(f"try_cast(split({column}, ':')[2] as double)").alias("coupon"))
+    day = F.try_to_date(F.get(parts, F.lit(1)), "yyyy-MM-dd")
+    out = distinct.select(F.col(column).alias("key"), F.array().cast("array<double>").alias("rates"), F.array_compact(F.array(day)).alias("days"), F.get(parts, F.lit(2)).try_cast("double").alias("coupon"))
     return out.withColumns({c: F.lit(None).cast(t) for c, t in none.items()})
 
 
