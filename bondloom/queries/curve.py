@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from bondloom.plans import curve, relative_value
 from bondloom.queries.sql import BASE, rounded
+from bondloom.session import checkpointed
 
 
 def r4(df: DataFrame, *columns: str, digits: int = 4) -> DataFrame:
@@ -20,6 +21,11 @@ def _residuals(spark: SparkSession, d: str) -> DataFrame:
     return curve.residuals(curve.usable_quotes(spark, d))
 
 
+def _stored(spark: SparkSession, d: str) -> DataFrame:
+    """Residuals written once: pairs read them three times."""
+    return checkpointed(_residuals(spark, d).select("obs_date", "isin", "tau", "residual_bp"))
+
+
 def curve_quotes(spark: SparkSession, d: str) -> DataFrame:
     return r4(curve.usable_quotes(spark, d), "tau", "spread_bp")
 
@@ -65,16 +71,16 @@ def bond_zscores(spark: SparkSession, d: str) -> DataFrame:
 
 
 def switch_pairs(spark: SparkSession, d: str) -> DataFrame:
-    return r4(relative_value.pairs(_residuals(spark, d)), "tau_a", "tau_b")
+    return r4(relative_value.pairs(_stored(spark, d)), "tau_a", "tau_b")
 
 
 def switch_zscores(spark: SparkSession, d: str) -> DataFrame:
-    z = relative_value.switch_signals(_residuals(spark, d))
+    z = relative_value.switch_signals(_stored(spark, d))
     return r4(z.select("obs_date", "isin_a", "isin_b", "spread_bp", "zscore", "n_window"), "spread_bp", "zscore", digits=3)
 
 
 def switch_reversion(spark: SparkSession, d: str) -> DataFrame:
-    return r4(relative_value.switch_reversion(relative_value.switch_signals(_residuals(spark, d))), "capture_bp")
+    return r4(relative_value.switch_reversion(relative_value.switch_signals(_stored(spark, d))), "capture_bp")
 
 
 NAMES: Sequence[str] = (
