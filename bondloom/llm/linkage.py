@@ -69,10 +69,20 @@ def soft_links(
     return state.select(F.col("r").alias(record), F.col("e").alias(entity), F.col("z").alias("confidence"))
 
 
-def best_links(links: DataFrame, *, record: str, entity: str, least: float = 0.5) -> DataFrame:
+def best_links(links: DataFrame, *, record: str, entity: str, least: float = 0.5, rival: float = 0.38, margin: float = 0.02) -> DataFrame:
     """The entity of greatest confidence for each record, if it reaches ``least``.
 
-    Ties go to the smaller entity.
+    Exclusivity shares one match among rivals, so a record whose likely entities together
+    surely hold its match takes the best of them if it reaches ``rival`` and leads by
+    ``margin``. Equal rivals leave the record unlinked; other ties go to the smaller entity.
     """
-    best = links.where(F.col("confidence") >= least).groupBy(record).agg(F.min(F.struct((-F.col("confidence")).alias("c"), F.col(entity).alias("e"))).alias("b"))
-    return best.select(F.col("b.e").alias(entity), record, (-F.col("b.c")).alias("confidence"))
+    c = F.col("confidence")
+    best = links.groupBy(record).agg(
+        F.min(F.struct((-c).alias("c"), F.col(entity).alias("e"))).alias("b"),
+        F.sum(F.when(c >= rival - 0.1, c)).alias("_all"),
+        F.sort_array(F.collect_list(c), asc=False).alias("_c"),
+    )
+    top = -F.col("b.c")
+    led = top - F.coalesce(F.get("_c", F.lit(1)), F.lit(0.0)) >= margin
+    shared = (top >= rival) & (F.col("_all") >= 0.8) & led
+    return best.where((top >= least) | shared).select(F.col("b.e").alias(entity), record, top.alias("confidence"))
