@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import math
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -103,16 +105,35 @@ def trade_check(trades: DataFrame, fitted: DataFrame) -> DataFrame:
     return r.groupBy("obs_date").agg(F.count(F.lit(1)).alias("n_trades"), F.sqrt(F.avg(F.pow("residual_bp", F.lit(2)))).alias("trade_rmse_bp"), F.percentile("residual_bp", F.lit(0.5)).alias("trade_bias_bp"))
 
 
-def decay_errors(quotes: DataFrame) -> DataFrame:
-    """Weighted residual sum of squares over all days for each decay of the grid.
+def day_errors(quotes: DataFrame) -> DataFrame:
+    """(obs_date, lam, rss): the weighted error of each day with enough quotes at each decay of the grid.
 
-    The grid is 80 constants, exploded onto each quote and summed at once per day and decay.
+    Under short decays both loadings are nearly multiples of each other and sums of squares
+    lose the error, so a day's 80 small systems are solved by singular values, in Python.
+    Directions under the rounding error are left out, as lstsq does; no day is.
     """
-    grid = F.explode(F.array(*[F.lit(x) for x in GRID])).alias("lam")
-    spread = weighed(quotes).select("obs_date", "tau", "mid", "weight", grid)
-    solved = _solve(spread, ["obs_date", "lam"], F.col("lam"))
-    rss = F.col("yy") - F.col("beta0") * F.col("y0") - F.col("beta1") * F.col("y1") - F.col("beta2") * F.col("y2")
-    return solved.groupBy("lam").agg(F.sum(rss).alias("rss"), F.count(F.lit(1)).alias("n_days"))
+    grid, least = GRID, MIN_BONDS
+
+    def solve(day: pd.DataFrame) -> pd.DataFrame:
+        if len(day) < least:
+            return pd.DataFrame({"obs_date": [], "lam": [], "rss": []})
+        lam, root = np.array(grid), np.sqrt(day["weight"].to_numpy())
+        x = day["tau"].to_numpy()[None, :] / lam[:, None]
+        decay = np.exp(-x)
+        slope = (1 - decay) / x  # tau is at least MIN_TAU
+        u, s, _ = np.linalg.svd(np.stack([np.ones_like(x), slope, slope - decay], axis=2) * root[None, :, None], full_matrices=False)
+        u = u * (s > np.finfo(float).eps * max(len(day), 3) * s[:, :1])[:, None, :]
+        y = day["mid"].to_numpy() * root
+        rest = y - np.einsum("gnk,gk->gn", u, np.einsum("gnk,n->gk", u, y))
+        return pd.DataFrame({"obs_date": day["obs_date"].iloc[0], "lam": lam, "rss": (rest**2).sum(axis=1)})
+
+    slim = weighed(quotes).select("obs_date", "tau", "mid", "weight")
+    return slim.groupBy("obs_date").applyInPandas(solve, "obs_date date, lam double, rss double")
+
+
+def decay_errors(quotes: DataFrame) -> DataFrame:
+    """Weighted residual sum of squares over all days for each decay of the grid."""
+    return day_errors(quotes).groupBy("lam").agg(F.sum("rss").alias("rss"), F.count(F.lit(1)).alias("n_days"))
 
 
 def calibrated(errors: DataFrame) -> DataFrame:

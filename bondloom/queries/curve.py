@@ -57,12 +57,12 @@ def trade_check_age(spark: SparkSession, d: str) -> DataFrame:
 
 
 def lambda_grid_rss(spark: SparkSession, d: str) -> DataFrame:
-    errors = curve.decay_errors(curve.usable_quotes(spark, d)).where("lam >= 1")
+    errors = curve.decay_errors(curve.usable_quotes(spark, d))
     return errors.select(F.round("lam", 6).alias("lam"), (F.round("rss", 2) + F.lit(0.0)).alias("rss"), "n_days")
 
 
 def lambda_calibrated(spark: SparkSession, d: str) -> DataFrame:
-    return r4(curve.calibrated(curve.decay_errors(curve.usable_quotes(spark, d)).where("lam >= 1")), "lambda_years")
+    return r4(curve.calibrated(curve.decay_errors(curve.usable_quotes(spark, d))), "lambda_years")
 
 
 def bond_zscores(spark: SparkSession, d: str) -> DataFrame:
