@@ -19,8 +19,8 @@ MARKET_ROWS, MARKET_LEAST, HALF_LIFE, OWN_CAP, FIRST_TARGET, STAT_LEAST = (2, 5,
 
 
 def scoring_days(fitted: DataFrame) -> DataFrame:
-    """The first fitted day of each month."""
-    return fitted.groupBy(F.trunc("obs_date", "month").alias("_m")).agg(F.min("obs_date").alias("asof")).select("asof")
+    """Every fitted day."""
+    return fitted.select(F.col("obs_date").alias("asof")).distinct()
 
 
 def influenced(df: DataFrame, day: str, days: DataFrame, reach: int) -> DataFrame:
@@ -42,20 +42,20 @@ def valid_auctions(spark: SparkSession, d: str) -> DataFrame:
 def _last_before(facts: DataFrame, day: str, value: Column, days: DataFrame) -> DataFrame:
     """(isin, asof, day, value): the last fact of each bond up to each scoring day.
 
-    Facts are first reduced to a bond's best up to each scoring day of their own month and
-    its best of the whole month; then months, few per bond, are carried forward.
+    A bond's facts and its scoring days from its first fact on are put in one order, and the
+    last fact is carried along.
     """
     fact = F.struct(F.col(day).alias("d"), value.alias("v"))
-    months = days.select(F.trunc("asof", "month").alias("_m"), "asof")
-    own = facts.select("isin", F.trunc(day, "month").alias("_m"), fact.alias("_f")).join(months, "_m", "left")
-    own = own.groupBy("isin", "_m").agg(F.max(F.when(F.col("_f.d") <= F.col("asof"), F.col("_f"))).alias("_early"), F.max("_f").alias("_top"))
-    # Each bond on each scoring day from its first fact on: bonds times months.
-    slots = own.groupBy("isin").agg(F.min("_m").alias("_from"))
-    last = F.trunc(F.lit(days.agg(F.max("asof")).first()[0]), "month")
-    slots = slots.where(F.col("_from") <= last).select("isin", F.explode(F.sequence("_from", last, F.expr("interval 1 month"))).alias("_m")).join(months, "_m")
-    rows = slots.join(own, ["isin", "_m"], "full")
-    before = Window.partitionBy("isin").orderBy("_m").rowsBetween(Window.unboundedPreceding, -1)
-    rows = rows.withColumn("_f", F.coalesce("_early", F.max("_top").over(before))).where("asof is not null and _f is not null")
+    known = facts.groupBy("isin", F.col(day).alias("_d")).agg(F.max(fact).alias("_f"))
+    # Rows of the result: bonds times days, found by an equi-join on the month.
+    first = known.groupBy("isin").agg(F.min("_d").alias("_from"))
+    last = F.lit(days.agg(F.max("asof")).first()[0]).cast("date")
+    months = F.sequence(F.trunc("_from", "month"), F.trunc(last, "month"), F.expr("interval 1 month"))
+    slots = first.where(F.col("_from") <= last).withColumn("_m", F.explode(months)).join(days.withColumn("_m", F.trunc("asof", "month")), "_m")
+    slots = slots.where(F.col("asof") >= F.col("_from")).select("isin", F.col("asof").alias("_d"), "asof")
+    rows = known.withColumn("_asks", F.lit(False)).unionByName(slots.withColumn("_asks", F.lit(True)), allowMissingColumns=True)
+    upto = Window.partitionBy("isin").orderBy("_d", "_asks").rowsBetween(Window.unboundedPreceding, 0)
+    rows = rows.withColumn("_f", F.last("_f", True).over(upto)).where("_asks")
     return rows.select("isin", "asof", F.col("_f.d").alias("day"), F.col("_f.v").alias("value"))
 
 

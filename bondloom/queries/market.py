@@ -11,7 +11,7 @@ from bondloom.functions.curve import price_and_duration
 from bondloom.plans import curve, market, relative_value, shape, validation
 from bondloom.queries.curve import r4
 from bondloom.queries.sql import BASE, MARKET, rounded
-from bondloom.session import table
+from bondloom.session import broadcast_if_small, checkpointed, table
 
 
 def _res(spark: SparkSession, d: str) -> DataFrame:
@@ -19,7 +19,8 @@ def _res(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _days(spark: SparkSession, d: str) -> DataFrame:
-    return market.scoring_days(_res(spark, d))
+    """A row per day, written once: the plans read it several times."""
+    return broadcast_if_small(checkpointed(market.scoring_days(_res(spark, d))))
 
 
 def _gaps(spark: SparkSession, d: str) -> DataFrame:

@@ -5,9 +5,12 @@ import math
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
+from bondloom.functions.codecs import isin_maturity
 from bondloom.plans import curve
 from bondloom.queries import curve as curve_queries
+from bondloom.queries import market as market_queries
 
 BONDS = "isin string, maturity_date date, series_label string, coupon_pct double"
 OBSERVATIONS = "obs_seq long, obs_date date, isin string, source string, bid_yield double, offer_yield double, mid_yield double"
@@ -64,3 +67,23 @@ def test_short_decays_keep_their_error_where_loadings_agree(spark):
         slope = (1 - np.exp(-tau / lam)) / (tau / lam)
         x = np.column_stack([np.ones_like(tau), slope, slope - np.exp(-tau / lam)])
         assert rss == pytest.approx(float(np.sum((mid - x @ np.linalg.lstsq(x, mid, rcond=None)[0]) ** 2)), rel=1e-4)
+
+
+def test_every_fitted_day_is_scored(spark, tmp_path):
+    days = [FIRST + dt.timedelta(k) for k in (0, 1, 4, 30)]  # three of one month
+    held(spark, tmp_path, days, 2.5)
+    bill = next(x for k in range(10) if (x := f"LKA36427F04{k}") and spark.range(1).select(isin_maturity(F.lit(x)).alias("m")).first()["m"])
+    rows = [(k, day, isin, kind, 12.0 + k, 100, 1) for k, (day, isin, kind) in enumerate([(days[0], bill, "Tbill"), (days[1], "b3", "TBond"), (days[1], bill, "Tbill"), (days[2], "b3", "TBond"), (days[2], "b4", "TBond")])]
+    spark.createDataFrame(rows, "trade_seq long, obs_date date, isin string, security_type string, wavg_yield double, volume_lkr long, n_trades int").write.parquet(f"{tmp_path}/trade_summary.parquet")
+    spark.createDataFrame([(0, days[1], "b3", "auction", 5, 10, 5, 12.0), (1, days[2], "b3", "auction", 5, 20, 5, 12.0)], "auction_seq long, auction_date date, isin string, kind string, offered_lkr long, bids_lkr long, accepted_lkr long, way_pct double").write.parquet(f"{tmp_path}/auctions.parquet")
+    d = str(tmp_path)
+    rates = {r["asof"]: r["bill_pct"] for r in market_queries.funding_rate(spark, d).collect()}
+    assert rates == {days[0]: 12.0, days[1]: 13.0, days[2]: 13.0, days[3]: 14.0}  # the first print is 30 days old on the last day
+    profile = {(r["obs_date"], r["isin"]) for r in market_queries.carry_profile(spark, d).collect()}
+    assert len(profile) == 40 and {day for day, _ in profile} == set(days)
+    assert {r["asof"]: r["n"] for r in market_queries.execution_gap(spark, d).collect()} == {days[1]: 1, days[2]: 3}
+    tiers = {(r["asof"], r["isin"]): (r["n_trades"], r["days_since_trade"], r["last_trade_yield"], r["bid_to_cover"]) for r in market_queries.liquidity_tiers(spark, d).collect()}
+    assert tiers == {
+        (days[1], "b3"): (1, 0, 13.0, 2.0), (days[2], "b3"): (2, 0, 15.0, 4.0), (days[2], "b4"): (1, 0, 16.0, None),
+        (days[3], "b3"): (2, 26, 15.0, 4.0), (days[3], "b4"): (1, 26, 16.0, None),
+    }
