@@ -77,9 +77,15 @@ def p5_certified(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p5_months_from_days(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Summaries of single days, combined to months, per source."""
-    rows = _yields(spark, sf_dir).where("table_name = 'observations'").withColumn("month", F.trunc("obs_date", "month"))
-    keys = ["reading", "source", "month"]
+    """Summaries of single days, combined to months: per source, and per bond and source.
+
+    All three yields are summarised; trades have no source, months of a source no isin.
+    """
+    none = F.lit(None).cast("string")
+    levels = F.explode(F.array(F.struct(F.lit("source").alias("level"), none.alias("isin")), F.struct(F.lit("bond").alias("level"), F.col("isin")))).alias("l")
+    rows = _yields(spark, sf_dir).select("table_name", "reading", "source", F.trunc("obs_date", "month").alias("month"), "obs_date", "seq", "value", levels)
+    rows = rows.select("table_name", "reading", "l.level", "l.isin", "source", "month", "obs_date", "seq", "value")
+    keys = ["table_name", "reading", "level", "isin", "source", "month"]
     days = build_digests(rows, [*keys, "obs_date"], "value")
     months = digest_quantiles(merge_digests(days, keys), keys)
     return certify(rows, months, keys, "value", F.xxhash64("seq"))
