@@ -65,7 +65,7 @@ def funding_rate(spark: SparkSession, d: str) -> DataFrame:
 
 
 def bond_price_duration(spark: SparkSession, d: str) -> DataFrame:
-    q = curve.usable_quotes(spark, d).join(table(spark, d, "bonds").where("coupon_pct is not null").select("isin", "coupon_pct"), "isin").where("mid between 1 and 30")
+    q = curve.usable_quotes(spark, d).join(table(spark, d, "bonds").where("coupon_pct is not null").select("isin", "coupon_pct"), "isin")
     price, duration = price_and_duration(F.col("mid"), F.col("coupon_pct"), F.col("tau"))
     return r4(q.select("obs_date", "isin", price.alias("price"), duration.alias("duration")), "price", "duration")
 

@@ -87,3 +87,15 @@ def test_every_fitted_day_is_scored(spark, tmp_path):
         (days[1], "b3"): (1, 0, 13.0, 2.0), (days[2], "b3"): (2, 0, 15.0, 4.0), (days[2], "b4"): (1, 0, 16.0, None),
         (days[3], "b3"): (2, 26, 15.0, 4.0), (days[3], "b4"): (1, 26, 16.0, None),
     }
+
+
+def test_every_mid_is_priced(spark, tmp_path):
+    held(spark, tmp_path, [FIRST], 2.5, mids={(0, 1): 0.5, (0, 2): 80.0, (0, 3): -200.0, (0, 4): -250.0})
+    got = {r["isin"]: (r["price"], r["duration"]) for r in market_queries.bond_price_duration(spark, str(tmp_path)).collect()}
+    assert len(got) == 10 and got["b3"] == got["b4"] == (None, None)
+    for isin, days, mid in (("b1", 120, 0.5), ("b2", 200, 80.0)):
+        tau = days / 365.25
+        times = [t for t in (tau - 0.5, tau) if t > 0]
+        flows = [(5 + 100 * (t == tau)) / (1 + mid / 200) ** (2 * t) for t in times]
+        price = sum(flows)
+        assert got[isin] == pytest.approx((price, sum(f * t for f, t in zip(flows, times)) / price / (1 + mid / 200)), abs=1e-4)
