@@ -72,7 +72,8 @@ def _solve(df: DataFrame, keys: list[str], lam: Column) -> DataFrame:
     b0 = (y0 * (s11 * s22 - s12 * s12) - s1 * (y1 * s22 - s12 * y2) + s2 * (y1 * s12 - s11 * y2)) / det
     b1 = (s0 * (y1 * s22 - s12 * y2) - y0 * (s1 * s22 - s12 * s2) + s2 * (s1 * y2 - y1 * s2)) / det
     b2 = (s0 * (s11 * y2 - y1 * s12) - s1 * (s1 * y2 - y1 * s2) + y0 * (s1 * s12 - s11 * s2)) / det
-    solved = agg.where((F.col("n") >= MIN_BONDS) & (F.abs(det) > 1e-12))
+    # The guard is free of scale: the determinant against the product of the diagonal.
+    solved = agg.where((F.col("n") >= MIN_BONDS) & (F.abs(det) > 1e-12 * s0 * s11 * s22))
     return solved.select(*keys, "n", "yy", "y0", "y1", "y2", b0.alias("beta0"), b1.alias("beta1"), b2.alias("beta2"))
 
 
@@ -131,6 +132,11 @@ def day_errors(quotes: DataFrame) -> DataFrame:
     return slim.groupBy("obs_date").applyInPandas(solve, "obs_date date, lam double, rss double")
 
 
+def best_decays(errors: DataFrame) -> DataFrame:
+    """The decay of least error of each day; of equal ones the shortest."""
+    return errors.groupBy("obs_date").agg(F.min(F.struct("rss", "lam")).alias("b")).select("obs_date", F.col("b.lam").alias("lambda_years"))
+
+
 def decay_errors(quotes: DataFrame) -> DataFrame:
     """Weighted residual sum of squares over all days for each decay of the grid."""
     return day_errors(quotes).groupBy("lam").agg(F.sum("rss").alias("rss"), F.count(F.lit(1)).alias("n_days"))

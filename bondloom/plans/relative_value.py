@@ -5,18 +5,34 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from bondloom.session import broadcast_if_small
+
 # Fixed values of the signals.
 ROWS, LEAST_ROWS, LEAST_SD, PAIR_YEARS = 60, 30, 0.5, 2.0
 HORIZON_DAYS, SLACK_DAYS, THRESHOLDS, LEAST_EVENTS = 14, 4, (2.0, 3.0), 30
 
+#: Slices that auctioned bonds meet in.
+SLICES = 16
+
 
 def rolling_z(df: DataFrame, keys: list[str], value: str, order: str = "obs_date") -> DataFrame:
-    """mean, sd, count and z of ``value`` over the rows before its own, never with it."""
-    past = Window.partitionBy(*keys).orderBy(order).rowsBetween(-ROWS, -1)
-    v = F.col(value)
-    df = df.withColumns({"n_window": F.count(v).over(past), "_m": F.avg(v).over(past), "_s": F.stddev_samp(v).over(past)})
+    """mean, sd, count and z of ``value`` over the ROWS rows before its own, never with it.
+
+    Running sums less their values ROWS back, so a row costs the same however long the frame
+    is, in one sort. Values are a few hundred bp, far from where the difference of sums of
+    squares would lose digits.
+    """
+    rows = Window.partitionBy(*keys).orderBy(order)
+    upto = rows.rowsBetween(Window.unboundedPreceding, 0)
+    v = F.col(value).cast("double")
+    df = df.withColumns({"_n": F.count(v).over(upto), "_s": F.sum(v).over(upto), "_q": F.sum(v * v).over(upto)})
+    past = lambda c: F.coalesce(F.lag(c, 1).over(rows), F.lit(0)) - F.coalesce(F.lag(c, ROWS + 1).over(rows), F.lit(0))
+    df = df.withColumns({"n_window": past("_n"), "_ps": past("_s"), "_pq": past("_q")})
     enough = F.col("n_window") >= LEAST_ROWS
-    df = df.withColumns({"mean_bp": F.when(enough, F.col("_m")), "sd_bp": F.when(enough, F.col("_s"))}).drop("_m", "_s")
+    mean = F.when(enough, F.col("_ps") / F.col("n_window"))
+    var = (F.col("_pq") - F.col("_ps") * F.col("_ps") / F.col("n_window")) / (F.col("n_window") - 1)
+    sd = F.when(enough, F.sqrt(F.greatest(var, F.lit(0.0))))
+    df = df.withColumns({"mean_bp": mean, "sd_bp": sd}).drop("_n", "_s", "_q", "_ps", "_pq")
     gone = v - F.col("mean_bp")
     return df.withColumns({"dislocation_bp": gone, "zscore": F.when(F.col("sd_bp") > LEAST_SD, gone / F.col("sd_bp"))})
 
@@ -25,40 +41,78 @@ def bond_signals(residual: DataFrame) -> DataFrame:
     return rolling_z(residual.select("obs_date", "isin", "tau", "residual_bp"), ["isin"], "residual_bp")
 
 
-def pairs(residual: DataFrame) -> DataFrame:
-    """Pairs of bonds whose median tenors are near: bonds meet in tenor bands of PAIR_YEARS."""
+def pair_bonds(residual: DataFrame, auctions: DataFrame) -> DataFrame:
+    """(isin, id, tau, auctioned): each bond's number, median tenor, and whether it was ever
+    auctioned. A row per bond of the whole history; the numbering sorts those few rows."""
     tau = residual.groupBy("isin").agg(F.percentile("tau", F.lit(0.5)).alias("tau"))
-    band = F.floor(F.col("tau") / PAIR_YEARS)
-    left = tau.select(F.col("isin").alias("isin_a"), F.col("tau").alias("tau_a"), F.explode(F.array(band - 1, band, band + 1)).alias("band"))
-    right = tau.select(F.col("isin").alias("isin_b"), F.col("tau").alias("tau_b"), band.alias("band"))
-    near = (F.col("isin_a") < F.col("isin_b")) & (F.abs(F.col("tau_a") - F.col("tau_b")) <= PAIR_YEARS)
-    return left.join(right, "band").where(near).select("isin_a", "isin_b", "tau_a", "tau_b")
+    sold = auctions.where("isin is not null").select("isin").distinct().withColumn("auctioned", F.lit(True))
+    bonds = tau.join(sold, "isin", "left").withColumn("auctioned", F.coalesce("auctioned", F.lit(False)))
+    return bonds.withColumn("id", F.row_number().over(Window.partitionBy().orderBy("isin")).cast("long"))
 
 
-def pair_spreads(residual: DataFrame) -> DataFrame:
-    """Spread of each pair on the days when both legs have a residual."""
-    leg = residual.select("obs_date", "isin", "residual_bp")
-    a = leg.select("obs_date", F.col("isin").alias("isin_a"), F.col("residual_bp").alias("_a"))
-    b = leg.select("obs_date", F.col("isin").alias("isin_b"), F.col("residual_bp").alias("_b"))
-    both = pairs(residual).join(a, "isin_a").join(b, ["obs_date", "isin_b"])
-    return both.select("obs_date", "isin_a", "isin_b", "tau_a", "tau_b", (F.col("_a") - F.col("_b")).alias("spread_bp"))
+def _paired(tau_a: Column, tau_b: Column, sold_a: Column, sold_b: Column) -> Column:
+    return (F.abs(tau_a - tau_b) <= PAIR_YEARS) | (sold_a & sold_b)
 
 
-def switch_signals(residual: DataFrame) -> DataFrame:
-    scored = rolling_z(pair_spreads(residual), ["isin_a", "isin_b"], "spread_bp")
+def pairs(bonds: DataFrame) -> DataFrame:
+    """(isin_a, isin_b, tau_a, tau_b) of the bonds of ``pair_bonds`` whose tenors are near, or
+    that were both auctioned. Near ones meet in tenor bands of PAIR_YEARS, auctioned ones in
+    SLICES slices, so that they are not one task's."""
+    band = F.floor(F.col("tau") / PAIR_YEARS)
+    slot = F.pmod(F.hash("isin"), F.lit(SLICES))
+    near = lambda bands: F.transform(bands, lambda k: F.concat(F.lit("near:"), k.cast("string")))
+    sold = lambda slots: F.when(F.col("auctioned"), F.transform(slots, lambda k: F.concat(F.lit("sold:"), k.cast("string")))).otherwise(F.array().cast("array<string>"))
+    side = lambda x, keys: bonds.select(*[F.col(c).alias(f"{c}_{x}") for c in ("isin", "tau", "auctioned")], F.explode(keys).alias("meet"))
+    a = side("a", F.concat(near(F.array(band - 1, band, band + 1)), sold(F.array(slot))))
+    b = side("b", F.concat(near(F.array(band)), sold(F.sequence(F.lit(0), F.lit(SLICES - 1)))))
+    met = a.join(b, "meet").where(F.col("isin_a") < F.col("isin_b"))
+    fits = _paired(*[F.col(f"{c}_{x}") for c in ("tau", "auctioned") for x in "ab"])
+    return met.where(fits).select("isin_a", "isin_b", "tau_a", "tau_b").distinct()
+
+
+def pair_spreads(residual: DataFrame, bonds: DataFrame) -> DataFrame:
+    """(pair, obs_date, id_a, id_b, spread_bp): the spread of each pair on the days when both
+    legs have a residual.
+
+    Legs meet by day, whose rows are at most one per bond, and the pair rule is part of that
+    join; so the pair rows are exchanged once, for the windows, by one number.
+    """
+    leg = residual.select("obs_date", "isin", "residual_bp").join(broadcast_if_small(bonds), "isin")
+    a, b = (leg.select("obs_date", *[F.col(c).alias(f"{c}_{x}") for c in ("id", "tau", "auctioned", "residual_bp")]) for x in "ab")
+    fits = _paired(*[F.col(f"{c}_{x}") for c in ("tau", "auctioned") for x in "ab"])
+    both = a.join(b, "obs_date").where((F.col("id_a") < F.col("id_b")) & fits)
+    pair = F.shiftleft("id_a", 32) + F.col("id_b")
+    return both.select(pair.alias("pair"), "obs_date", (F.col("residual_bp_a") - F.col("residual_bp_b")).alias("spread_bp"))
+
+
+def switch_signals(residual: DataFrame, bonds: DataFrame) -> DataFrame:
+    """Scored spreads by ``pair`` number; ``named`` gives the bonds."""
+    scored = rolling_z(pair_spreads(residual, bonds), ["pair"], "spread_bp")
     return scored.where("zscore is not null")
 
 
-def forward_by_date(df: DataFrame, keys: list[str], value: str) -> Column:
-    """Change to the first row dated HORIZON_DAYS to SLACK_DAYS more ahead; null if none."""
+def named(signals: DataFrame, bonds: DataFrame) -> DataFrame:
+    """``signals`` with isin_a, isin_b and their tenors for the pair number."""
+    few = broadcast_if_small(bonds)
+    side = lambda x: few.select(F.col("id").alias(f"id_{x}"), F.col("isin").alias(f"isin_{x}"), F.col("tau").alias(f"tau_{x}"))
+    ids = signals.withColumns({"id_a": F.shiftright("pair", 32), "id_b": F.col("pair").bitwiseAND(F.lit((1 << 32) - 1))})
+    return ids.join(side("a"), "id_a").join(side("b"), "id_b").drop("pair", "id_a", "id_b")
+
+
+def forward_by_date(keys: list[str], value: str) -> Column:
+    """Change to the first row at or up to SLACK_DAYS after ten business days ahead; null if
+    none. From a weekday that is HORIZON_DAYS calendar days; a day of the weekend counts from
+    the Friday before it."""
     day = F.unix_date("obs_date")
-    ahead = Window.partitionBy(*keys).orderBy(day).rangeBetween(HORIZON_DAYS, HORIZON_DAYS + SLACK_DAYS)
-    return F.first(value).over(ahead) - F.col(value)
+    rows = Window.partitionBy(*keys).orderBy(day)
+    ahead = lambda days: F.first(value).over(rows.rangeBetween(days, days + SLACK_DAYS))
+    weekday = F.weekday("obs_date")
+    return F.when(weekday == 5, ahead(HORIZON_DAYS - 1)).when(weekday == 6, ahead(HORIZON_DAYS - 2)).otherwise(ahead(HORIZON_DAYS)) - F.col(value)
 
 
 def switch_reversion(signals: DataFrame) -> DataFrame:
     """Average gain of fading a switch by threshold; null under LEAST_EVENTS events."""
-    df = signals.withColumn("fwd", forward_by_date(signals, ["isin_a", "isin_b"], "spread_bp")).where("fwd is not null")
+    df = signals.withColumn("fwd", forward_by_date(["pair"], "spread_bp")).where("fwd is not null")
     gain = -F.signum("zscore") * F.col("fwd")
     hits = F.explode(F.array(*[F.lit(t) for t in THRESHOLDS])).alias("threshold")
     rows = df.select("zscore", gain.alias("gain"), hits).where(F.abs("zscore") >= F.col("threshold"))

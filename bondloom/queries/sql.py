@@ -42,22 +42,26 @@ w1 as (select *, greatest(1, least(300, coalesce(abs(spread_bp), median(abs(spre
 w as (select *, (1 / (s * s)) / avg(1 / (s * s)) over (partition by obs_date) weight from w1),
 wf as (select *, {_load('tau', '2.5e0')} f1, {_load('tau', '2.5e0')} - exp(-tau/2.5e0) f2 from w),
 sm as (select obs_date, {_SUMS} from wf group by 1),
-bt as (select obs_date, n, {_SOLVE} from sm where n >= 6),
-res as (select w.*, n, beta0, beta1, beta2, {_fitted('tau')} fitted, (mid - ({_fitted('tau')})) * 100 residual_bp from w join bt using (obs_date) where abs(det) > 1e-12),
+bt as (select obs_date, n, s0 * s11 * s22 dd, {_SOLVE} from sm where n >= 6),
+res as (select w.*, n, beta0, beta1, beta2, {_fitted('tau')} fitted, (mid - ({_fitted('tau')})) * 100 residual_bp from w join bt using (obs_date) where abs(det) > 1e-12 * dd),
 fit as (select obs_date, any_value(beta0) beta0, any_value(beta1) beta1, any_value(beta2) beta2, count(*) n_quotes,
   sqrt(sum(weight * (residual_bp / 100) * (residual_bp / 100)) / sum(weight)) * 100 rmse_bp from res group by 1),
 tr as (select t.*, (traded - ({_fitted('tau')})) * 100 residual_bp from t join fit using (obs_date)),
 chk as (select obs_date, count(*) n_trades, sqrt(avg(residual_bp * residual_bp)) trade_rmse_bp, median(residual_bp) trade_bias_bp from tr group by 1),
-gw as (select w.*, lam, {_load('tau', 'lam')} f1, {_load('tau', 'lam')} - exp(-tau/lam) f2 from w, (select unnest([{', '.join(repr(x) for x in GRID if x >= 1)}]::double[]) lam)),
-gs as (select obs_date, lam, {_SUMS} from gw group by 1, 2),
-gb as (select *, {_SOLVE} from gs where n >= 6),
-grid as (select lam, sum(yy - beta0 * y0 - beta1 * y1 - beta2 * y2) rss, count(*) as n_days from gb where abs(det) > 1e-12 group by 1),
+gw as (select obs_date, mid, weight, lam, {_load('tau', 'lam')} f1, {_load('tau', 'lam')} - exp(-tau/lam) f2 from w, (select unnest([{', '.join(repr(x) for x in GRID)}]::double[]) lam)),
+g1 as (select obs_date, lam, weight w, count(*) over g n, f1 - sum(weight * f1) over g / sum(weight) over g c1, f2 - sum(weight * f2) over g / sum(weight) over g c2,
+  mid - sum(weight * mid) over g / sum(weight) over g cy from gw window g as (partition by obs_date, lam)),
+g2 as (select obs_date, lam, w, n, c2 - c1 * sum(w * c1 * c2) over g / sum(w * c1 * c1) over g d2, cy - c1 * sum(w * c1 * cy) over g / sum(w * c1 * c1) over g dy from g1 where n >= 6 window g as (partition by obs_date, lam)),
+g3 as (select obs_date, lam, w, dy - case when sum(w * d2 * d2) over g > 1e-28 * sum(w) over g then d2 * sum(w * d2 * dy) over g / sum(w * d2 * d2) over g else 0 end e from g2 window g as (partition by obs_date, lam)),
+gday as (select obs_date, lam, sum(w * e * e) rss from g3 group by 1, 2),
+grid as (select lam, sum(rss) rss, count(*) as n_days from gday group by 1),
 z1 as (select obs_date, isin, tau, residual_bp, count(*) over p n_window, avg(residual_bp) over p m, stddev_samp(residual_bp) over p s from res
   window p as (partition by isin order by obs_date rows between 60 preceding and 1 preceding)),
 z as (select obs_date, isin, tau, residual_bp, n_window, case when n_window >= 30 then m end mean_bp, case when n_window >= 30 then s end sd_bp,
   case when n_window >= 30 then residual_bp - m end dislocation_bp, case when n_window >= 30 and s > 0.5e0 then (residual_bp - m) / s end zscore from z1),
 mt as (select isin, median(tau) tau from res group by 1),
-pr as (select a.isin isin_a, b.isin isin_b, a.tau tau_a, b.tau tau_b from mt a join mt b on a.isin < b.isin and abs(a.tau - b.tau) <= 2),
+ever as (select distinct isin from auctions),
+pr as (select a.isin isin_a, b.isin isin_b, a.tau tau_a, b.tau tau_b from mt a join mt b on a.isin < b.isin and (abs(a.tau - b.tau) <= 2 or (a.isin in (select isin from ever where isin is not null) and b.isin in (select isin from ever where isin is not null)))),
 ps as (select a.obs_date, isin_a, isin_b, a.residual_bp - b.residual_bp spread_bp from pr join res a on a.isin = isin_a join res b on b.isin = isin_b and a.obs_date = b.obs_date),
 sz1 as (select *, count(*) over p n_window, avg(spread_bp) over p m, stddev_samp(spread_bp) over p s from ps
   window p as (partition by isin_a, isin_b order by obs_date rows between 60 preceding and 1 preceding)),
@@ -77,7 +81,7 @@ cz1 as (select *, count(*) over p c, avg(spread_bp) over p m, stddev_samp(spread
 cz as (select obs_date, pair, spread_bp, curve_only_bp, cost_bp, case when c >= 30 and s > 0.5e0 then (spread_bp - m) / s end zscore from cz1),
 cf as (select *, lead(spread_bp, 11) over p - lead(spread_bp, 1) over p fwd from cz window p as (partition by pair order by obs_date)),
 cr as (select pair, count(*) n, case when count(*) >= 20 then avg(-sign(zscore) * fwd) end reversion_bp from cf where abs(zscore) >= 1.5e0 and fwd is not null group by 1),
-sd as (select min(obs_date) d from fit group by date_trunc('month', obs_date)),
+sd as (select obs_date d from fit),
 av as (select auction_date, isin, kind, r.* from (select auction_date, isin, kind, arg_max(struct_pack(offered := offered_lkr, bids := bids_lkr), auction_seq) r from auctions group by 1, 2, 3)),
 tb as (select obs_date, isin, r.y y, r.v v, r.n n from tv where r.s = 'TBond'),
 th as (select d, coalesce(max(obs_date), d) thr from sd left join tb on obs_date <= d and d - obs_date <= 7 group by d),
