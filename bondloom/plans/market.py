@@ -14,7 +14,7 @@ from bondloom.session import table
 TRADE_DAYS, ACTIVE, BENCH_TRADES, BENCH_DAYS, POST_DAYS, LAG_CAP = 60, 10, 8, 120, 14, 7
 FUNDING_BP, BILL_LEAST, BILL_MOST, BILL_WINDOW, BILL_LOOKBACK = 5.0, 240, 380, 5, 30
 AGE_YEARS, AGED_LEAST = 0.25, 0.02
-GAP_DAYS, GAP_LEAST = 20, 8
+GAP_DAYS, GAP_LEAST, TENOR_DAYS = 20, 8, 365
 MARKET_ROWS, MARKET_LEAST, HALF_LIFE, OWN_CAP, FIRST_TARGET, STAT_LEAST = (2, 5, 20), 5, 2.0, 40.0, 60, 100
 
 
@@ -49,7 +49,7 @@ def _last_before(facts: DataFrame, day: str, value: Column, days: DataFrame) ->
     known = facts.groupBy("isin", F.col(day).alias("_d")).agg(F.max(fact).alias("_f"))
     # Rows of the result: bonds times days, found by an equi-join on the month.
     first = known.groupBy("isin").agg(F.min("_d").alias("_from"))
-    last = F.lit(days.agg(F.max("asof")).first()[0]).cast("date")
+    last = days.agg(F.max("asof").alias("asof")).scalar()
     months = F.sequence(F.trunc("_from", "month"), F.trunc(last, "month"), F.expr("interval 1 month"))
     slots = first.where(F.col("_from") <= last).withColumn("_m", F.explode(months)).join(days.withColumn("_m", F.trunc("asof", "month")), "_m")
     slots = slots.where(F.col("asof") >= F.col("_from")).select("isin", F.col("asof").alias("_d"), "asof")
@@ -91,16 +91,39 @@ def funding(trades: DataFrame, days: DataFrame) -> DataFrame:
     return agg.select("asof", "bill_pct", (F.col("bill_pct") + FUNDING_BP / 100).alias("rate_pct"), F.date_diff("asof", "bill_date").alias("stale_days"), "n_bills")
 
 
-def carry(residual: DataFrame, bonds: DataFrame, rates: DataFrame) -> DataFrame:
-    """Carry and roll of each quoted bond on the days that have a funding rate."""
-    df = residual.join(rates.select(F.col("asof").alias("obs_date"), "rate_pct"), "obs_date").join(bonds.where("coupon_pct is not null").select("isin", "coupon_pct"), "isin")
-    price, duration = price_and_duration(F.col("mid"), F.col("coupon_pct"), F.col("tau"))
+def roll_down(residual: DataFrame, bonds: DataFrame, gap_bp: Column | None = None) -> DataFrame:
+    """Entry yield (mid plus ``gap_bp``), price, duration and roll of each quoted bond with a coupon."""
+    df = residual.join(bonds.where("coupon_pct is not null").select("isin", "coupon_pct"), "isin")
+    df = df.withColumn("entry_yield", F.col("mid") + (F.lit(0.0) if gap_bp is None else gap_bp) / 100)
+    price, duration = price_and_duration(F.col("entry_yield"), F.col("coupon_pct"), F.col("tau"))
     df = df.withColumns({"price": price, "duration": duration})
     at = lambda tau: predict(tau, F.lit(curve.LAMBDA), F.col("beta0"), F.col("beta1"), F.col("beta2"))
     roll = F.col("duration") * (at(F.col("tau")) - at(F.greatest(F.col("tau") - AGE_YEARS, F.lit(AGED_LEAST)))) * 100 / AGE_YEARS
-    df = df.withColumns({"carry_bp": (F.col("mid") - F.col("rate_pct")) * 100, "roll_bp": roll})
+    return df.withColumn("roll_bp", roll)
+
+
+def entry_gaps(forecasts: DataFrame, gap: DataFrame) -> DataFrame:
+    """(asof, entry_gap_bp): the market's part of the day's forecast, else the trailing gap, else 0."""
+    market = forecasts.groupBy("obs_date").agg(F.first("market_gap_bp").alias("_m")).withColumnRenamed("obs_date", "asof")
+    both = gap.select("asof", F.col("gap_bp").alias("_g")).join(market, "asof", "full")
+    return both.select("asof", F.coalesce("_m", "_g", F.lit(0.0)).alias("entry_gap_bp"))
+
+
+def carry(residual: DataFrame, bonds: DataFrame, rates: DataFrame, entry: DataFrame | None = None) -> DataFrame:
+    """Carry and roll of each quoted bond on the days that have a funding rate.
+
+    ``entry`` (asof, entry_gap_bp) shifts the entry yield of a day's bonds; without it they
+    are entered at the quote.
+    """
+    days = rates.select(F.col("asof").alias("obs_date"), "rate_pct")
+    if entry is None:
+        days = days.withColumn("entry_gap_bp", F.lit(0.0))
+    else:
+        days = days.join(entry.withColumnRenamed("asof", "obs_date"), "obs_date", "left").fillna(0.0, ["entry_gap_bp"])
+    df = roll_down(residual.join(days, "obs_date"), bonds, F.col("entry_gap_bp"))
+    df = df.withColumn("carry_bp", (F.col("entry_yield") - F.col("rate_pct")) * 100)
     df = df.withColumn("total_bp", F.col("carry_bp") + F.col("roll_bp"))
-    return df.select("obs_date", "isin", "price", "duration", "carry_bp", "roll_bp", "total_bp", F.when(F.col("duration") > 0, F.col("total_bp") / F.col("duration")).otherwise(0.0).alias("per_duration_bp"))
+    return df.select("obs_date", "isin", "entry_yield", "price", "duration", "carry_bp", "roll_bp", "total_bp", F.when(F.col("duration") > 0, F.col("total_bp") / F.col("duration")).otherwise(0.0).alias("per_duration_bp"))
 
 
 def day_numbers(residual: DataFrame) -> DataFrame:
@@ -120,6 +143,12 @@ def execution_gap(gap: DataFrame, days: DataFrame) -> DataFrame:
     return agg.select("asof", "n", F.when(F.col("n") >= GAP_LEAST, F.col("_g")).alias("gap_bp"))
 
 
+def gap_by_tenor(gap: DataFrame, days: DataFrame) -> DataFrame:
+    """Median gap of the trailing year by tenor, as of each scoring day."""
+    seen = influenced(gap.select("obs_date", "gap_bp", tenor_bucket(F.col("tau")).alias("bucket")), "obs_date", days, TENOR_DAYS - 1)
+    return seen.groupBy("asof", "bucket").agg(F.percentile("gap_bp", F.lit(0.5)).alias("gap_bp"), F.count(F.lit(1)).alias("n"))
+
+
 def tenor_bucket(tau: Column) -> Column:
     return F.when(tau < 2, "0-2y").when(tau < 4, "2-4y").when(tau < 7, "4-7y").when(tau < 10, "7-10y").otherwise("10y+")
 
@@ -159,6 +188,31 @@ def adjusted(asks: DataFrame, numbered: DataFrame, market: DataFrame) -> DataFra
     return rows.select("isin", "idx", *extra, age.alias("own_age"), own.alias("own_gap_bp"), "market_bp", "market_rows", "old_bp", blend.alias("adjustment_bp"))
 
 
+def forecast(residual: DataFrame, trades: DataFrame, figures: DataFrame) -> DataFrame:
+    """Where each quoted bond should deal on the next day, for every quoted day.
+
+    The rule is read at the last row that holds any gap, which may lie before the day; then
+    the forecast is not fresh and takes the error bands of ``accuracy`` of the longer lag.
+    Days without a market gap have no forecast.
+    """
+    days = day_numbers(residual)
+    numbered = gaps(residual, trades).join(days, "obs_date")
+    market = market_gaps(numbered, days)
+    traded = numbered.select("idx", F.col("obs_date").alias("through")).distinct().withColumn("at", F.col("idx"))
+    upto = Window.partitionBy().orderBy("idx").rowsBetween(Window.unboundedPreceding, 0)  # a row per day
+    last = days.join(traded, "idx", "left")
+    last = last.withColumns({"at": F.last("at", True).over(upto), "through": F.last("through", True).over(upto)}).where("at is not null")
+    asks = residual.select("obs_date", "isin", "mid").join(last.select("obs_date", F.col("at").alias("idx"), "through"), "obs_date")
+    made = adjusted(asks, numbered, market)
+    fresh = F.col("through") == F.col("obs_date")
+    bands = figures.select(F.col("lag").alias("_lag"), "band50_bp", "band80_bp", "screen_band50_bp")
+    made = made.withColumn("_lag", F.when(fresh, 1).otherwise(2)).join(F.broadcast(bands), "_lag", "left")  # two rows
+    return made.select(
+        "obs_date", "isin", F.col("mid").alias("quote_yield"), (F.col("mid") + F.col("adjustment_bp") / 100).alias("expected_yield"), "adjustment_bp", "own_gap_bp", F.col("own_age").alias("own_age_days"),
+        F.col("market_bp").alias("market_gap_bp"), F.col("market_rows").alias("market_window"), F.col("through").alias("trades_through"), fresh.alias("fresh"), "band50_bp", "band80_bp", "screen_band50_bp",
+    )
+
+
 def backtest(residual: DataFrame, trades: DataFrame) -> DataFrame:
     """Every forecast the rule would have made against the trade that followed."""
     days = day_numbers(residual)
@@ -176,6 +230,6 @@ def accuracy(scored: DataFrame) -> DataFrame:
     size = F.abs("error")
     agg = scored.groupBy("lag").agg(
         F.count(F.lit(1)).alias("n"), F.avg(size).alias("mae_bp"), F.percentile(size, F.lit(0.5)).alias("band50_bp"), F.percentile(size, F.lit(0.8)).alias("band80_bp"),
-        F.avg("error").alias("bias_bp"), F.avg(F.abs("screen_error")).alias("screen_mae_bp"), F.avg(F.abs("old_error")).alias("old_mae_bp"), F.avg(F.abs("market_error")).alias("market_mae_bp"),
+        F.avg("error").alias("bias_bp"), F.avg(F.abs("screen_error")).alias("screen_mae_bp"), F.percentile(F.abs("screen_error"), F.lit(0.5)).alias("screen_band50_bp"), F.avg(F.abs("old_error")).alias("old_mae_bp"), F.avg(F.abs("market_error")).alias("market_mae_bp"),
     )
     return agg.where(F.col("n") >= STAT_LEAST)

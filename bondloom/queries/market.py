@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from bondloom.functions.curve import price_and_duration
 from bondloom.plans import curve, market, relative_value, shape, validation
 from bondloom.queries.curve import r4
-from bondloom.queries.sql import BASE, MARKET, rounded
+from bondloom.queries.sql import _ROLL, BASE, MARKET, rounded
 from bondloom.session import broadcast_if_small, checkpointed, table
 
 
@@ -18,9 +18,19 @@ def _res(spark: SparkSession, d: str) -> DataFrame:
     return curve.residuals(curve.usable_quotes(spark, d))
 
 
-def _days(spark: SparkSession, d: str) -> DataFrame:
+def _once(spark: SparkSession, d: str) -> DataFrame:
+    """Residuals written once, for plans that read them several times."""
+    columns = ("obs_date", "isin", "tau", "mid", "beta0", "beta1", "beta2", "residual_bp")
+    return checkpointed(_res(spark, d).select(*columns))
+
+
+def _days(spark: SparkSession, d: str, residual: DataFrame | None = None) -> DataFrame:
     """A row per day, written once: the plans read it several times."""
-    return broadcast_if_small(checkpointed(market.scoring_days(_res(spark, d))))
+    return broadcast_if_small(checkpointed(market.scoring_days(_res(spark, d) if residual is None else residual)))
+
+
+def _trades_once(spark: SparkSession, d: str) -> DataFrame:
+    return checkpointed(curve.usable_trades(spark, d))
 
 
 def _gaps(spark: SparkSession, d: str) -> DataFrame:
@@ -45,7 +55,7 @@ def curve_spread_reversion(spark: SparkSession, d: str) -> DataFrame:
 
 
 def curve_spread_asof(spark: SparkSession, d: str) -> DataFrame:
-    s = _spreads(spark, d)
+    s = checkpointed(_spreads(spark, d))
     return r4(shape.as_of(s, shape.reversion(s)), "spread_bp", "low_bp", "high_bp", "change_20d_bp", digits=3)
 
 
@@ -70,31 +80,56 @@ def bond_price_duration(spark: SparkSession, d: str) -> DataFrame:
     return r4(q.select("obs_date", "isin", price.alias("price"), duration.alias("duration")), "price", "duration")
 
 
+def roll_down(spark: SparkSession, d: str) -> DataFrame:
+    c = market.roll_down(_res(spark, d), table(spark, d, "bonds"))
+    return r4(c.select("obs_date", "isin", "duration", "roll_bp"), "duration", "roll_bp")
+
+
+def _forecasts(res: DataFrame, trades: DataFrame) -> DataFrame:
+    return market.forecast(res, trades, checkpointed(market.accuracy(market.backtest(res, trades))))
+
+
 def carry_profile(spark: SparkSession, d: str) -> DataFrame:
-    c = market.carry(_res(spark, d), table(spark, d, "bonds"), market.funding(curve.valid_trades(spark, d), _days(spark, d)))
-    return r4(c, "price", "duration", "carry_bp", "roll_bp", "total_bp", "per_duration_bp", digits=3)
+    """Carry entered where trades are expected to print: the quote plus the day's entry gap."""
+    res, trades = _once(spark, d), _trades_once(spark, d)
+    days = _days(spark, d, res)
+    entry = market.entry_gaps(_forecasts(res, trades), market.execution_gap(market.gaps(res, trades), days))
+    c = market.carry(res, table(spark, d, "bonds"), market.funding(curve.valid_trades(spark, d), days), entry)
+    return r4(c, "entry_yield", "price", "duration", "carry_bp", "roll_bp", "total_bp", "per_duration_bp", digits=3)
 
 
 def execution_gap(spark: SparkSession, d: str) -> DataFrame:
-    return r4(market.execution_gap(_gaps(spark, d), _days(spark, d)), "gap_bp")
+    res = _once(spark, d)
+    return r4(market.execution_gap(market.gaps(res, curve.usable_trades(spark, d)), _days(spark, d, res)), "gap_bp")
 
 
 def execution_gap_by_tenor(spark: SparkSession, d: str) -> DataFrame:
-    g = _gaps(spark, d).groupBy(market.tenor_bucket(F.col("tau")).alias("bucket")).agg(F.percentile("gap_bp", F.lit(0.5)).alias("gap_bp"), F.count(F.lit(1)).alias("n"))
-    return r4(g, "gap_bp")
+    res = _once(spark, d)
+    return r4(market.gap_by_tenor(market.gaps(res, curve.usable_trades(spark, d)), _days(spark, d, res)), "gap_bp")
+
+
+def entry_gap(spark: SparkSession, d: str) -> DataFrame:
+    res, trades = _once(spark, d), _trades_once(spark, d)
+    e = market.entry_gaps(_forecasts(res, trades), market.execution_gap(market.gaps(res, trades), _days(spark, d, res)))
+    return r4(e, "entry_gap_bp")
+
+
+def dealing_forecast(spark: SparkSession, d: str) -> DataFrame:
+    f = _forecasts(_once(spark, d), _trades_once(spark, d))
+    return r4(f, "expected_yield", "adjustment_bp", "own_gap_bp", "market_gap_bp", "band50_bp", "band80_bp", "screen_band50_bp", digits=11)
 
 
 def dealing_market_gap(spark: SparkSession, d: str) -> DataFrame:
-    res = _res(spark, d)
-    days = market.day_numbers(res)
+    res = _once(spark, d)
+    days = checkpointed(market.day_numbers(res))
     numbered = market.gaps(res, curve.usable_trades(spark, d)).join(days, "obs_date")
     return r4(market.market_gaps(numbered, days), "market_bp", "old_bp", digits=8)
 
 
 def dealing_adjustments(spark: SparkSession, d: str) -> DataFrame:
     """The rule for each quoted bond and day: what `forecast` would add to the screen."""
-    res = _res(spark, d)
-    days = market.day_numbers(res)
+    res = _once(spark, d)
+    days = checkpointed(market.day_numbers(res))
     numbered = market.gaps(res, curve.usable_trades(spark, d)).join(days, "obs_date")
     asks = res.join(days, "obs_date").select("isin", "idx", "obs_date", "mid")
     a = market.adjusted(asks, numbered, market.market_gaps(numbered, days))
@@ -103,11 +138,11 @@ def dealing_adjustments(spark: SparkSession, d: str) -> DataFrame:
 
 
 def dealing_backtest(spark: SparkSession, d: str) -> DataFrame:
-    return r4(market.backtest(_res(spark, d), curve.usable_trades(spark, d)), "screen_error", "old_error", "market_error", "error", digits=8)
+    return r4(market.backtest(_once(spark, d), _trades_once(spark, d)), "screen_error", "old_error", "market_error", "error", digits=8)
 
 
 def dealing_accuracy(spark: SparkSession, d: str) -> DataFrame:
-    a = market.accuracy(market.backtest(_res(spark, d), curve.usable_trades(spark, d)))
+    a = market.accuracy(market.backtest(_once(spark, d), _trades_once(spark, d)))
     return r4(a, *[c for c in a.columns if c not in ("lag", "n")])
 
 
@@ -124,7 +159,7 @@ def z_correlation(spark: SparkSession, d: str) -> DataFrame:
 
 
 def residual_dispersion(spark: SparkSession, d: str) -> DataFrame:
-    return r4(validation.dispersion(_res(spark, d)), "across_bp", "own_bp", "ratio", "rho", "half_life")
+    return r4(validation.dispersion(_once(spark, d)), "across_bp", "own_bp", "ratio", "rho", "half_life")
 
 
 def gap_by_month(spark: SparkSession, d: str) -> DataFrame:
@@ -136,12 +171,14 @@ def auction_cycle(spark: SparkSession, d: str) -> DataFrame:
 
 
 def screen_lag(spark: SparkSession, d: str) -> DataFrame:
-    return r4(validation.screen_lag(_res(spark, d), _gaps(spark, d)), "next_day_bp", "five_days_bp", "rose")
+    res = _once(spark, d)
+    return r4(validation.screen_lag(res, market.gaps(res, curve.usable_trades(spark, d))), "next_day_bp", "five_days_bp", "rose")
 
 
 NAMES: Sequence[str] = (
     "curve_points", "curve_spread_z", "curve_spread_reversion", "curve_spread_asof", "spread_monthly_pivot", "liquidity_tiers", "funding_rate",
-    "bond_price_duration", "carry_profile", "execution_gap", "execution_gap_by_tenor", "dealing_market_gap", "dealing_adjustments", "dealing_backtest",
+    "bond_price_duration", "roll_down", "carry_profile", "execution_gap", "execution_gap_by_tenor", "entry_gap", "dealing_forecast",
+    "dealing_market_gap", "dealing_adjustments", "dealing_backtest",
     "dealing_accuracy", "z_bucket_reversion", "z_correlation", "residual_dispersion", "gap_by_month", "auction_cycle", "screen_lag",
 )
 QUERIES = {name: globals()[name] for name in NAMES}
@@ -158,11 +195,15 @@ from cz left join cr using (pair) window u as (partition by pair order by obs_da
     "spread_monthly_pivot": f"""{M} select cast(date_trunc('month', obs_date) as date) as month, {', '.join(f"round(avg(spread_bp) filter (pair = '2s{k}s'), 3) + 0 as m2s{k}s" for k in (5, 8, 10, 12))} from cz group by 1""",
     "liquidity_tiers": f"{M} select asof_day as asof, isin, turnover_lkr, n_trades, days_traded, is_benchmark, days_since_auction, post_auction, {rounded('bid_to_cover', digits=8)}, days_since_trade, {rounded('last_trade_yield', digits=8)}, tier from liq",
     "funding_rate": f"{M} select asof_day as asof, {rounded('bill_pct')}, round(bill_pct + 0.05e0, 4) + 0 as rate_pct, stale_days, n_bills from fund",
-    "bond_price_duration": f"{M} select obs_date, isin, {rounded('price', 'duration')} from pd where mid between 1 and 30",
-    "carry_profile": f"""{M} select obs_date, isin, {rounded('price', 'duration', 'carry_bp', 'roll_bp', digits=3)}, round(carry_bp + roll_bp, 3) + 0 as total_bp,
-round((carry_bp + roll_bp) / duration, 3) + 0 as per_duration_bp from car""",
-    "execution_gap": f"{M} select d as asof, count(*) n, round(case when count(*) >= 8 then median(gap_bp) end, 4) + 0 as gap_bp from sd join gp on obs_date <= d and obs_date > d - 20 group by d",
-    "execution_gap_by_tenor": f"""{M} select case when tau < 2 then '0-2y' when tau < 4 then '2-4y' when tau < 7 then '4-7y' when tau < 10 then '7-10y' else '10y+' end bucket, round(median(gap_bp), 4) + 0 as gap_bp, count(*) n from gp group by 1""",
+    "bond_price_duration": f"{M} select obs_date, isin, {rounded('price', 'duration')} from pd",
+    "roll_down": f"{M} select p.obs_date, p.isin, round(duration, 4) + 0 as duration, round({_ROLL}, 4) + 0 as roll_bp from pd p join fit using (obs_date)",
+    "carry_profile": f"""{M} select obs_date, isin, {rounded('entry_yield', 'price', 'duration', 'carry_bp', 'roll_bp', digits=3)}, round(carry_bp + roll_bp, 3) + 0 as total_bp,
+round(case when duration > 0 then (carry_bp + roll_bp) / duration else 0 end, 3) + 0 as per_duration_bp from car""",
+    "execution_gap": f"{M} select d as asof, n, {rounded('gap_bp')} from eg",
+    "execution_gap_by_tenor": f"""{M} select d as asof, case when tau < 2 then '0-2y' when tau < 4 then '2-4y' when tau < 7 then '4-7y' when tau < 10 then '7-10y' else '10y+' end bucket, round(median(gap_bp), 4) + 0 as gap_bp, count(*) n
+from sd join gp on obs_date <= d and obs_date > d - 365 group by 1, 2""",
+    "entry_gap": f"{M} select asof_day as asof, {rounded('entry_gap_bp')} from eb",
+    "dealing_forecast": f"{M} select obs_date, isin, quote_yield, {rounded('expected_yield', 'adjustment_bp', 'own_gap_bp', digits=11)}, own_age_days, {rounded('market_gap_bp', digits=11)}, market_window, trades_through, fresh, {rounded('band50_bp', 'band80_bp', 'screen_band50_bp', digits=11)} from fc",
     "dealing_market_gap": f"{M} select idx, {rounded('market_bp', digits=8)}, market_rows, {rounded('old_bp', digits=8)} from mk",
     "dealing_adjustments": f"""{M}, asks as (select r.isin, r.obs_date, r.mid, di.idx from res r join di using (obs_date)),
 ad as (select a.*, g.idx gi, g.gap_bp from asks a asof left join gx g on a.isin = g.isin and a.idx >= g.idx),
@@ -171,7 +212,7 @@ af as (select *, coalesce(0.5e0 ** (own_age / 2e0), 0) wt, case when gap_bp is n
 select obs_date, isin, own_age, round(own2, 11) + 0 as own_gap_bp, round(wt * coalesce(own2, 0) + (1 - wt) * market_bp, 11) + 0 as adjustment_bp,
 round(mid + (wt * coalesce(own2, 0) + (1 - wt) * market_bp) / 100, 11) + 0 as expected_yield from af""",
     "dealing_backtest": f"{M} select obs_date, isin, lag, {rounded('screen_error', 'old_error', 'market_error', 'error', digits=8)}, own_age from bk",
-    "dealing_accuracy": f"""{M} select lag, count(*) n, {', '.join(f'round({e}, 4) + 0 as {n}' for n, e in (('mae_bp', 'avg(abs(error))'), ('band50_bp', 'quantile_cont(abs(error), 0.5)'), ('band80_bp', 'quantile_cont(abs(error), 0.8)'), ('bias_bp', 'avg(error)'), ('screen_mae_bp', 'avg(abs(screen_error))'), ('old_mae_bp', 'avg(abs(old_error))'), ('market_mae_bp', 'avg(abs(market_error))')))}
+    "dealing_accuracy": f"""{M} select lag, count(*) n, {', '.join(f'round({e}, 4) + 0 as {n}' for n, e in (('mae_bp', 'avg(abs(error))'), ('band50_bp', 'quantile_cont(abs(error), 0.5)'), ('band80_bp', 'quantile_cont(abs(error), 0.8)'), ('bias_bp', 'avg(error)'), ('screen_mae_bp', 'avg(abs(screen_error))'), ('screen_band50_bp', 'quantile_cont(abs(screen_error), 0.5)'), ('old_mae_bp', 'avg(abs(old_error))'), ('market_mae_bp', 'avg(abs(market_error))')))}
 from bk group by lag having count(*) >= 100""",
     "z_bucket_reversion": f"""{M}, zf as (select zscore, lead(residual_bp, 5) over w1 - residual_bp f5, lead(residual_bp, 10) over w1 - residual_bp f10, lead(residual_bp, 20) over w1 - residual_bp f20
 from z where zscore is not null window w1 as (partition by isin order by obs_date))

@@ -67,6 +67,14 @@ sz1 as (select *, count(*) over p n_window, avg(spread_bp) over p m, stddev_samp
   window p as (partition by isin_a, isin_b order by obs_date rows between 60 preceding and 1 preceding)),
 sz as (select obs_date, isin_a, isin_b, spread_bp, n_window, (spread_bp - m) / s zscore from sz1 where n_window >= 30 and s > 0.5e0)"""
 
+#: Price, first moment and roll at an entry yield; null at yields of -200 percent and less.
+def _flows(y: str) -> str:
+    flow = f"(coupon_pct / 2 + case when x >= tau - 1e-9 then 100 else 0 end) / (1 + {y} / 200) ** (2 * x)"
+    return f"case when {y} > -200 then list_sum(list_transform(tm, lambda x: {flow})) end price, case when {y} > -200 then list_sum(list_transform(tm, lambda x: x * {flow})) end mo"
+
+
+_ROLL = f"duration * (({_fitted('p.tau')}) - ({_fitted('greatest(p.tau - 0.25e0, 0.02e0)')})) * 100 / 0.25e0"
+
 _P2 = "(select * from pt where point = 2)"
 
 #: Further parts: shape, market, dealing.
@@ -101,12 +109,7 @@ bn as (select *, max(obs_date) over (partition by d) mx from bs),
 fund as (select d asof_day, sum(y * v) / sum(v) bill_pct, cast(d - any_value(mx) as int) stale_days, count(*) n_bills from bn where obs_date > mx - 5 group by d),
 pf as (select q.obs_date, q.isin, q.tau, q.mid, coupon_pct, list_filter(list_transform(range(0, greatest(cast(ceil(2 * tau - 1e-9) as int), 1)), lambda k: tau - k / 2e0), lambda x: x > 1e-9) tm
   from q join bonds using (isin) where coupon_pct is not null),
-pd1 as (select *, list_sum(list_transform(tm, lambda x: (coupon_pct / 2 + case when x >= tau - 1e-9 then 100 else 0 end) / (1 + mid / 200) ** (2 * x))) price,
-  list_sum(list_transform(tm, lambda x: x * (coupon_pct / 2 + case when x >= tau - 1e-9 then 100 else 0 end) / (1 + mid / 200) ** (2 * x))) mo from pf),
-pd as (select obs_date, isin, tau, mid, price, mo / price / (1 + mid / 200) duration from pd1),
-car as (select p.obs_date, p.isin, price, duration, (p.mid - (bill_pct + 0.05e0)) * 100 carry_bp,
-  duration * (({_fitted('p.tau')}) - ({_fitted('greatest(p.tau - 0.25e0, 0.02e0)')})) * 100 / 0.25e0 roll_bp
-  from pd p join fund on asof_day = p.obs_date join fit using (obs_date)),
+pd as (select obs_date, isin, tau, mid, price, mo / price / (1 + mid / 200) duration from (select *, {_flows('mid')} from pf)),
 gp as (select r.obs_date, r.isin, r.tau, t.traded, (t.traded - r.mid) * 100 gap_bp from res r join t using (obs_date, isin)),
 di as (select obs_date, row_number() over (order by obs_date) - 1 idx from (select distinct obs_date from res)),
 gx as (select gp.*, idx from gp join di using (obs_date)),
@@ -117,4 +120,17 @@ bk1 as (select t.isin, t.obs_date, a.idx - lag idx, lag, (t.traded - r.mid) * 10
 bk2 as (select s.*, g.idx gi, g.gap_bp from bk1 s asof left join gx g on s.isin = g.isin and s.idx >= g.idx),
 bk3 as (select bk2.*, market_bp, old_bp, bk2.idx - gi own_age, case when gap_bp is null then 0 else 0.5e0 ** ((bk2.idx - gi) / 2e0) end wt,
   coalesce(market_bp + greatest(-40, least(40, gap_bp - market_bp)), 0) own from bk2 join mk on mk.idx = bk2.idx where market_bp is not null),
-bk as (select obs_date, isin, lag, missed screen_error, missed - coalesce(old_bp, 0) old_error, missed - market_bp market_error, missed - (wt * own + (1 - wt) * market_bp) error, own_age from bk3)"""
+bk as (select obs_date, isin, lag, missed screen_error, missed - coalesce(old_bp, 0) old_error, missed - market_bp market_error, missed - (wt * own + (1 - wt) * market_bp) error, own_age from bk3),
+acc as (select lag, count(*) n, quantile_cont(abs(error), 0.5) band50_bp, quantile_cont(abs(error), 0.8) band80_bp, quantile_cont(abs(screen_error), 0.5) screen_band50_bp from bk group by lag having count(*) >= 100),
+ld as (select di.obs_date, di.idx, max(g.idx) lst, max(g.obs_date) through from di join gx g on g.idx <= di.idx group by 1, 2),
+fc1 as (select r.obs_date, r.isin, r.mid, ld.lst, ld.through from res r join ld using (obs_date)),
+fc2 as (select f.*, g.idx gi, g.gap_bp from fc1 f asof left join gx g on f.isin = g.isin and f.lst >= g.idx),
+fc3 as (select f.*, m.market_bp, m.market_rows, f.lst - gi own_age, case when gap_bp is not null then m.market_bp + greatest(-40, least(40, gap_bp - m.market_bp)) end own from fc2 f join mk m on m.idx = f.lst where m.market_bp is not null),
+fc as (select obs_date, isin, mid quote_yield, adj adjustment_bp, mid + adj / 100 expected_yield, own own_gap_bp, own_age own_age_days, market_bp market_gap_bp, market_rows market_window, through trades_through, through = obs_date fresh,
+  band50_bp, band80_bp, screen_band50_bp from (select *, case when own is null then market_bp else 0.5e0 ** (own_age / 2e0) * own + (1 - 0.5e0 ** (own_age / 2e0)) * market_bp end adj from fc3)
+  left join acc on lag = case when through = obs_date then 1 else 2 end),
+eg as (select d, count(*) n, case when count(*) >= 8 then median(gap_bp) end gap_bp from sd join gp on obs_date <= d and obs_date > d - 20 group by d),
+eb as (select coalesce(d, f.obs_date) asof_day, coalesce(f.m, eg.gap_bp, 0) entry_gap_bp from eg full join (select obs_date, any_value(market_gap_bp) m from fc group by 1) f on f.obs_date = d),
+ce as (select pf.*, pf.mid + coalesce(entry_gap_bp, 0) / 100 entry_yield, bill_pct + 0.05e0 rate from pf join fund on asof_day = pf.obs_date left join eb on eb.asof_day = pf.obs_date),
+cp as (select *, mo / price / (1 + entry_yield / 200) duration from (select *, {_flows('entry_yield')} from ce)),
+car as (select p.obs_date, p.isin, entry_yield, price, duration, (entry_yield - rate) * 100 carry_bp, {_ROLL} roll_bp from cp p join fit using (obs_date))"""
