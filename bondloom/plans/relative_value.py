@@ -25,14 +25,17 @@ def rolling_z(df: DataFrame, keys: list[str], value: str, order: str = "obs_date
     rows = Window.partitionBy(*keys).orderBy(order)
     upto = rows.rowsBetween(Window.unboundedPreceding, 0)
     v = F.col(value).cast("double")
+    # The three sums travel as one value, so each row is looked up twice, not six times.
     df = df.withColumns({"_n": F.count(v).over(upto), "_s": F.sum(v).over(upto), "_q": F.sum(v * v).over(upto)})
-    past = lambda c: F.coalesce(F.lag(c, 1).over(rows), F.lit(0)) - F.coalesce(F.lag(c, ROWS + 1).over(rows), F.lit(0))
-    df = df.withColumns({"n_window": past("_n"), "_ps": past("_s"), "_pq": past("_q")})
+    sums = F.struct(F.col("_n").alias("n"), F.col("_s").alias("s"), F.col("_q").alias("q"))
+    df = df.withColumns({"_to": F.lag(sums, 1).over(rows), "_from": F.lag(sums, ROWS + 1).over(rows)})
+    past = lambda c: F.coalesce(F.col(f"_to.{c}"), F.lit(0)) - F.coalesce(F.col(f"_from.{c}"), F.lit(0))
+    df = df.withColumns({"n_window": past("n"), "_ps": past("s"), "_pq": past("q")})
     enough = F.col("n_window") >= LEAST_ROWS
     mean = F.when(enough, F.col("_ps") / F.col("n_window"))
     var = (F.col("_pq") - F.col("_ps") * F.col("_ps") / F.col("n_window")) / (F.col("n_window") - 1)
     sd = F.when(enough, F.sqrt(F.greatest(var, F.lit(0.0))))
-    df = df.withColumns({"mean_bp": mean, "sd_bp": sd}).drop("_n", "_s", "_q", "_ps", "_pq")
+    df = df.withColumns({"mean_bp": mean, "sd_bp": sd}).drop("_n", "_s", "_q", "_to", "_from", "_ps", "_pq")
     gone = v - F.col("mean_bp")
     return df.withColumns({"dislocation_bp": gone, "zscore": F.when(F.col("sd_bp") > LEAST_SD, gone / F.col("sd_bp"))})
 

@@ -94,8 +94,9 @@ def carry_profile(spark: SparkSession, d: str) -> DataFrame:
     res, trades = _once(spark, d), _trades_once(spark, d)
     days = _days(spark, d, res)
     entry = market.entry_gaps(_forecasts(res, trades), market.execution_gap(market.gaps(res, trades), days))
-    c = market.carry(res, table(spark, d, "bonds"), market.funding(curve.valid_trades(spark, d), days), entry)
-    return r4(c, "entry_yield", "price", "duration", "carry_bp", "roll_bp", "total_bp", "per_duration_bp", digits=3)
+    rates = checkpointed(market.funding(curve.valid_trades(spark, d), days))  # like entry, a row per day
+    c = market.carry(res, table(spark, d, "bonds"), rates, checkpointed(entry))
+    return r4(r4(c, "price", "duration", "roll_bp", "total_bp", "per_duration_bp", digits=3), "entry_yield", "carry_bp", digits=9)
 
 
 def execution_gap(spark: SparkSession, d: str) -> DataFrame:
@@ -197,7 +198,7 @@ from cz left join cr using (pair) window u as (partition by pair order by obs_da
     "funding_rate": f"{M} select asof_day as asof, {rounded('bill_pct')}, round(bill_pct + 0.05e0, 4) + 0 as rate_pct, stale_days, n_bills from fund",
     "bond_price_duration": f"{M} select obs_date, isin, {rounded('price', 'duration')} from pd",
     "roll_down": f"{M} select p.obs_date, p.isin, round(duration, 4) + 0 as duration, round({_ROLL}, 4) + 0 as roll_bp from pd p join fit using (obs_date)",
-    "carry_profile": f"""{M} select obs_date, isin, {rounded('entry_yield', 'price', 'duration', 'carry_bp', 'roll_bp', digits=3)}, round(carry_bp + roll_bp, 3) + 0 as total_bp,
+    "carry_profile": f"""{M} select obs_date, isin, {rounded('price', 'duration', 'roll_bp', digits=3)}, {rounded('entry_yield', 'carry_bp', digits=9)}, round(carry_bp + roll_bp, 3) + 0 as total_bp,
 round(case when duration > 0 then (carry_bp + roll_bp) / duration else 0 end, 3) + 0 as per_duration_bp from car""",
     "execution_gap": f"{M} select d as asof, n, {rounded('gap_bp')} from eg",
     "execution_gap_by_tenor": f"""{M} select d as asof, case when tau < 2 then '0-2y' when tau < 4 then '2-4y' when tau < 7 then '4-7y' when tau < 10 then '7-10y' else '10y+' end bucket, round(median(gap_bp), 4) + 0 as gap_bp, count(*) n
