@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from bondloom.llm.tokens import FOLDER, VOCABULARY, token_ids
@@ -14,6 +14,8 @@ from bondloom.session import checkpointed
 #: Slices of the order in which a source's documents are ranked; only the slice that holds
 #: the cut is sorted.
 SLICES = 1 << 14
+#: Bins of weights to a doubling.
+BINS = 64
 
 
 def sized(documents: DataFrame, *, doc_id: str = "doc_id", text: str = "text", source: str = "source", weight: str | None = None, folder: str = FOLDER, vocabulary: str = VOCABULARY) -> DataFrame:
@@ -30,27 +32,33 @@ def sized(documents: DataFrame, *, doc_id: str = "doc_id", text: str = "text", s
     return slim.mapInPandas(measure, "doc_id long, source string, weight double, n_tokens long").where("n_tokens > 0")
 
 
-def plan(sizes: DataFrame, targets: DataFrame, total: int | None = None) -> DataFrame:
-    """(source, tokens, weighted, goal, rate, repeats, target_share), a row per source.
+def plan(sizes: DataFrame, targets: DataFrame, total: int | Column | None = None) -> DataFrame:
+    """(source, tokens, goal, rate, repeats, target_share), a row per source.
 
-    ``goal`` are the tokens asked of the source. Without ``total`` it is the most that all
-    sources can give at their shares; else a source gives what its cap allows.
-    A document of weight w is expected ``rate`` * w times.
+    ``goal`` are the tokens asked of the source. Without ``total`` the mix is the largest that
+    all sources can give at their shares; with it a source gives what its cap allows.
+    A document of weight w is expected min(``repeats``, ``rate`` * w) times, and ``rate`` is such
+    that the expected tokens come to the goal: documents whose weight would take them over the
+    cap are certain at the cap, and the others share what is left. The rate is read from sums
+    of bins of near weights, BINS to a doubling, so a source's documents are never sorted.
     """
-    have = sizes.groupBy("source").agg(F.sum("n_tokens").alias("tokens"), F.sum(F.col("n_tokens") * F.col("weight")).alias("weighted"), F.max("weight").alias("heaviest"))
+    bins = sizes.withColumn("bin", F.floor(F.log2("weight") * BINS)).groupBy("source", "bin").agg(F.sum("n_tokens").alias("t"), F.sum(F.col("n_tokens") * F.col("weight")).alias("w"), F.max("weight").alias("top"))
+    have = bins.groupBy("source").agg(F.sum("t").alias("tokens"))
     asked = targets.select("source", "target_share", F.col("max_repeats").alias("repeats")).where("target_share > 0 and repeats > 0").dropDuplicates(["source"])
-    both = asked.join(have, "source")
-    # At this rate the source's heaviest document reaches its cap.
-    most = F.col("repeats") / F.col("heaviest") * F.col("weighted")
-    if total is None:
-        limit = both.agg(F.min(most / F.col("target_share"))).first()[0] or 0.0
-    else:
-        limit = float(total)
-    goal = F.least(most, F.lit(limit) * F.col("target_share"))
-    return both.select("source", "target_share", "repeats", "tokens", "weighted", goal.alias("goal"), (goal / F.col("weighted")).alias("rate"))
-
-
-def draw(sizes: DataFrame, targets: DataFrame, *, seed: int = 0, total: int | None = None) -> DataFrame:
+    both = checkpointed(asked.join(have, "source"))  # a row per source
+    most = F.col("repeats") * F.col("tokens")
+    limit = both.agg(F.min(most / F.col("target_share")).alias("limit")).scalar() if total is None else F.lit(total) if isinstance(total, int) else total
+    both = both.withColumn("goal", F.least(most.cast("double"), limit * F.col("target_share")))
+    heavier = Window.partitionBy("source").orderBy(F.desc("bin"))
+    filled = bins.join(F.broadcast(both.select("source", "goal", "repeats")), "source")
+    filled = filled.withColumns({"above": F.sum("t").over(heavier.rowsBetween(Window.unboundedPreceding, 0)) - F.col("t"), "rest": F.sum("w").over(heavier.rowsBetween(0, Window.unboundedFollowing))})
+    rate = (F.col("goal") - F.col("repeats") * F.col("above")) / F.col("rest")
+    fits = rate * F.col("top") <= F.col("repeats") * (1 + 1e-9)
+    rates = filled.groupBy("source").agg(F.max_by(F.when(fits, rate), F.when(fits, F.col("bin"))).alias("rate"))
+    return both.join(rates, "source").select("source", "target_share", "repeats", "tokens", "goal", "rate")
+
+
+def draw(sizes: DataFrame, targets: DataFrame, *, seed: int = 0, total: int | Column | None = None) -> DataFrame:
     """(doc_id, source, n_tokens, copies) of the drawn documents.
 
     Each document first gets its certain whole copies. The rest, its inclusion probability,
@@ -58,13 +66,15 @@ def draw(sizes: DataFrame, targets: DataFrame, *, seed: int = 0, total: int | No
     while the source's tokens stay nearest its goal. The random number is a digest of seed
     and id, so a lost task draws the same again. No document exceeds its source's repeats.
 
+    The size that is fixed is that of tokens, as that is what shares are measured in.
     The order is cut without sorting a source: sums of SLICES slices find the one holding
     the cut, and only that one is sorted. Sources without a target, or with none of their
     documents at hand, give nothing. Repeated ids are separate documents of one rank.
     """
-    plans = checkpointed(plan(sizes, targets, total))
+    plans = checkpointed(plan(sizes, targets, total))  # like targets a few rows, so it is broadcast
     each = sizes.join(F.broadcast(plans.select("source", "goal", "rate", "repeats")), "source")
-    expected = F.least(F.col("repeats").cast("double"), F.col("rate") * F.col("weight"))
+    # No bin leaves room under the cap where all of a source is asked for at its cap.
+    expected = F.coalesce(F.least(F.col("repeats").cast("double"), F.greatest(F.lit(0.0), F.col("rate")) * F.col("weight")), F.col("repeats").cast("double"))
     # A hair's breadth under a whole number is that number.
     certain = F.floor(expected + 1e-9)
     each = each.withColumns({"certain": certain, "chance": F.greatest(F.lit(0.0), expected - certain)})

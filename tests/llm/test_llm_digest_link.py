@@ -4,7 +4,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from bondloom.llm.digest import build_digests, certify, digest_quantiles, merge_digests
+from bondloom.llm.digest import build_digests, certify, digest_quantiles, exact_quantiles, merge_digests, split_hot
 from bondloom.llm.linkage import best_links, soft_links
 from bondloom.llm.securities import candidate_pairs, read_label, read_lines, read_maturity, read_synthetic
 
@@ -25,6 +25,23 @@ def test_digests_merge_within_bound(spark):
     assert digest_quantiles(build_digests(df.limit(0), ["g"], "v"), ["g"]).count() == 0
 
 
+def test_exact_quantiles_and_split_groups(spark):
+    rng = random.Random(5)
+    data = [("hot", rng.choice((rng.gauss(0, 1), 0.5, -1e9))) for _ in range(5000)] + [("few", float(k)) for k in range(7)] + [("one", 1.0), ("one", None), ("one", float("nan")), (None, 2.0)]
+    df = spark.createDataFrame(data, "g string, v double").withColumn("seq", F.monotonically_increasing_id())
+    sizes = df.groupBy("g").agg(F.count(F.lit(1)).alias("size"))
+    split = split_hot(df, sizes, ["g"], "seq", target=1000)
+    assert {(r["g"], r["n"]) for r in split.groupBy("g").agg(F.countDistinct("part").alias("n")).collect()} == {("hot", 5), ("few", 1), ("one", 1), (None, 1)}
+    digests = merge_digests(build_digests(split, ["g", "part"], "v", size=20), ["g"], size=20)  # so coarse that brackets fail
+    got = {r["g"]: r for r in exact_quantiles(df, digests, ["g"], "v").collect()}
+    for g in ("hot", "few", "one", None):
+        values = sorted(v for k, v in data if k == g and v is not None and v == v)
+        assert got[g]["n"] == len(values)
+        for q in (0.01, 0.25, 0.5, 0.99):
+            assert got[g][f"p{round(q * 100):02d}"] == values[max(1, -(-round(q * len(values), 6) // 1).__int__()) - 1]
+    assert exact_quantiles(df.limit(0), build_digests(df.limit(0), ["g"], "v"), ["g"], "v").count() == 0
+
+
 @pytest.mark.parametrize(
     "label,expected",
     [

@@ -71,6 +71,20 @@ def test_mix_prefers_heavier(spark):
     assert 0.7 < (drawn.doc_id % 2 == 1).mean() < 0.9
 
 
+def test_mix_of_an_epoch_repeats_to_the_cap(spark):
+    """Small sources repeat up to their cap, and documents of great weight are certain at it."""
+    rows = [(k, "big", 10, 1.0) for k in range(1000)] + [(5000 + k, "small", 10, 100.0 if k < 5 else 1.0) for k in range(100)]
+    sizes = spark.createDataFrame(rows, "doc_id long, source string, n_tokens long, weight double")
+    targets = spark.createDataFrame([("big", 0.8, 2), ("small", 0.2, 3)], "source string, target_share double, max_repeats int")
+    drawn = draw(sizes, targets, total=11_000).toPandas()
+    tokens = (drawn.n_tokens * drawn.copies).groupby(drawn.source).sum()
+    assert tokens["big"] == pytest.approx(8800, abs=10) and tokens["small"] == pytest.approx(2200, abs=10)
+    small = drawn[drawn.source == "small"].set_index("doc_id").copies
+    assert small.max() == 3 and (small.loc[5000:5004] == 3).all() and 2 <= small.loc[5005:].mean() <= 2.5
+    capped = draw(sizes, targets, total=60_000).toPandas()
+    assert (capped.copies == capped.source.map({"big": 2, "small": 3})).all() and len(capped) == 1100
+
+
 PEOPLE = [f"{a}{b} {c}{d}" for a, b, c, d in itertools.product(("Brel", "Tavo", "Zanu"), ("win", "sha", "mir"), ("Crost", "Yarb", "Fenn"), ("mere", "ley", "wick"))]
 
 
