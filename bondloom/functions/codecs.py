@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -41,6 +43,7 @@ def isin_check_digit(body: Column) -> Column:
 
 def isin_maturity(isin: Column) -> Column:
     """Maturity printed in a bond or bill key; null if the key is malformed or its check fails."""
+    isin = F.upper(F.trim(isin))
     pattern = r"^LK[AB](\d{3})(\d{2})([A-L])(\d{2})(\d)$"
     part = lambda k: F.regexp_extract(isin, pattern, k)
     month = F.lpad((F.ascii(part(3)) - 64).cast("string"), 2, "0")
@@ -51,7 +54,7 @@ def isin_maturity(isin: Column) -> Column:
 
 def isin_tenor(isin: Column) -> Column:
     """Tenor in a key: years of a bond, days of a bill."""
-    return F.when(isin_maturity(isin).isNotNull(), F.substring(isin, 4, 3).cast("int"))
+    return F.when(isin_maturity(isin).isNotNull(), F.substring(F.upper(F.trim(isin)), 4, 3).cast("int"))
 
 
 def synthetic_key(maturity: Column, coupon: Column) -> Column:
@@ -93,3 +96,101 @@ def percent(value: Column) -> Column:
     """A sheet's fraction as percent to six digits; null for none, not positive or over 1."""
     number = value.try_cast("double")
     return F.when((number > 0) & (number <= 1), F.round(number * 100, 6))
+
+
+# Fixed value: the months' English names.
+MONTHS = ("January", "February", "March", "April", "May", "June", "July", "August", "September", "October", "November", "December")
+
+
+def full_year(year: Column) -> Column:
+    """Years of two digits are of this century."""
+    return F.when(year < 100, year + 2000).otherwise(year)
+
+
+def _day_of(year: Column, month: Column, day: Column) -> Column:
+    part = lambda c, n: F.lpad(c.cast("int").cast("string"), n, "0")
+    return sane(F.try_to_date(F.concat(part(full_year(year.cast("int")), 4), part(month, 2), part(day, 2)), "yyyyMMdd"))
+
+
+def either_order(text: Column) -> Column:
+    """Struct (day_first, month_first) of the first d.d.yyyy in a text, blanks ignored; a
+    reading that is no day is null."""
+    clean = F.regexp_replace(text, r"\s+", "")
+    a, b, year = (F.nullif(F.regexp_extract(clean, r"(\d{1,2})\.(\d{1,2})\.(\d{4})", k), F.lit("")) for k in (1, 2, 3))
+    return F.struct(_day_of(year, b, a).alias("day_first"), _day_of(year, a, b).alias("month_first"))
+
+
+#: Days that a printed title may be off the day its link names.
+TITLE_DAYS = 7
+
+
+def report_day(text: Column, label_day: Column) -> Column:
+    """Day of a trade report from its page text and the day its link names.
+
+    A reading of the title that equals the link's day wins; else the title, day first, unless
+    it is more than TITLE_DAYS off; then a spelled day in the text, then the link's day.
+    """
+    title = F.regexp_extract(text, r"Trade Summary\D{0,5}(\d{1,2}\.\d{1,2}\.\d{4})", 1)
+
+    def choose(read: Column) -> Column:
+        printed = F.coalesce(read["day_first"], read["month_first"])
+        far = F.coalesce(F.abs(F.date_diff(printed, label_day)) > TITLE_DAYS, F.lit(False))
+        agrees = F.coalesce((read["day_first"] == label_day) | (read["month_first"] == label_day), F.lit(False))
+        return F.when(agrees | far, label_day).otherwise(printed)
+
+    return F.coalesce(_let(either_order(title), choose), spelled(squeeze(text)), label_day)
+
+
+def _let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` of a value that is worked out once."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def build_isin(prefix: str, tenor: Column, maturity: Column) -> Column:
+    """Key of a bond (``LKB``, tenor in years) or bill (``LKA``, in days), check digit included."""
+    month = F.char(F.lit(64) + F.month(maturity))
+    body = F.concat(F.lit(prefix), F.lpad(tenor.cast("string"), 3, "0"), F.date_format(maturity, "yy"), month, F.date_format(maturity, "dd"))
+    return F.concat(body, isin_check_digit(body).cast("string"))
+
+
+def is_synthetic(key: Column) -> Column:
+    return F.coalesce(key.startswith("SYN:"), F.lit(False))
+
+
+def clean_number(text: Column) -> Column:
+    """A number whose digits may be parted by blanks and commas; null for all else."""
+    bare = F.regexp_replace(text, "[ ,]", "")
+    return F.when(bare.rlike(r"^-?\d+(\.\d+)?$"), bare.try_cast("double"))
+
+
+def strict_number(text: Column) -> Column:
+    """A text that is a number throughout; commas may group its digits."""
+    t = squeeze(text)
+    return F.when(t.rlike(r"^\d[\d,]*(?:\.\d+)?$"), F.regexp_replace(t, ",", "").try_cast("double"))
+
+
+def embedded_number(text: Column) -> Column:
+    """The first number in a phrase."""
+    return F.regexp_replace(F.nullif(F.regexp_extract(squeeze(text), r"\d[\d,]*(?:\.\d+)?", 0), F.lit("")), ",", "").try_cast("double")
+
+
+def rupees_printed(text: Column) -> Column:
+    """A figure of millions as whole rupees."""
+    return rupees_from_millions(strict_number(text))
+
+
+def month_days(text: Column) -> Column:
+    """Coupon days printed as day and month, as sorted ``mm-dd`` without repeats; null if none."""
+    found = F.regexp_extract_all(squeeze(text), F.lit(r"(\d{1,2}\s+[A-Za-z]+)"), F.lit(1))
+    names = F.array(*[F.lit(m.lower()) for m in MONTHS])
+    part = lambda x, k: F.regexp_extract(x, r"(\d{1,2})\s+([A-Za-z]+)", k)
+    number = lambda x: F.array_position(names, F.lower(part(x, 2)))
+    known = F.filter(found, lambda x: number(x) > 0)
+    days = F.transform(known, lambda x: F.concat(F.lpad(number(x).cast("string"), 2, "0"), F.lit("-"), F.lpad(part(x, 1), 2, "0")))
+    return F.when(F.size(days) > 0, F.array_join(F.array_sort(F.array_distinct(days)), ","))
+
+
+def day_after(text: Column, phrase: str) -> Column:
+    """The spelled day that follows a phrase, a weekday may stand between."""
+    found = F.regexp_extract(text, rf"(?i)\Q{phrase}\E\s+(?:\w+day,?\s*)?(\d{{1,2}}\s+[A-Za-z]+\s+\d{{4}})", 1)
+    return spelled(F.nullif(found, F.lit("")))

@@ -1,4 +1,8 @@
 import datetime as dt
+import random
+
+import numpy as np
+import pandas as pd
 import math
 
 import pytest
@@ -7,8 +11,8 @@ from pyspark.sql import functions as F
 from bondloom.functions import codecs
 from bondloom.functions.curve import loadings, predict, price_and_duration
 from bondloom.plans import curve, market, relative_value, shape
+from bondloom.session import checkpointed
 from bondloom.sources import state
-from bondloom.sources.html import index_links, kind_of
 from bondloom.streaming.update import follow
 
 
@@ -81,7 +85,31 @@ def test_score_leaves_its_own_day_out(spark):
 
 def test_pairs_by_median_tenor(spark):
     data = [(dt.date(2026, 1, 5), n, t, 0.0) for n, t in (("a", 2.0), ("b", 3.5), ("c", 13.0))]
-    assert [tuple(r)[:2] for r in relative_value.pairs(spark.createDataFrame(data, RES)).collect()] == [("a", "b")]
+    residual = spark.createDataFrame(data, RES)
+    pairs = lambda sold: {tuple(r)[:2] for r in relative_value.pairs(relative_value.pair_bonds(residual, spark.createDataFrame([(i,) for i in sold], "isin string"))).collect()}
+    assert pairs([]) == {("a", "b")} and pairs(["c", "a", "x", None]) == {("a", "b"), ("a", "c")}
+
+
+def test_switches_equal_their_definition(spark):
+    """Spreads of pairs against pandas' own rolling figures, and the change by date."""
+    rng = random.Random(2)
+    day = lambda k: dt.date(2026, 1, 5) + dt.timedelta(k // 5 * 7 + k % 5 + (2 if k == 47 else 0))
+    data = [(day(k), n, t, rng.gauss(0, 20)) for n, t in (("a", 2.0), ("b", 3.5), ("c", 30.0)) for k in range(100) if rng.random() < 0.9]
+    residual = spark.createDataFrame(data, RES)
+    bonds = checkpointed(relative_value.pair_bonds(residual, spark.createDataFrame([], "isin string")))
+    signals = relative_value.switch_signals(residual, bonds)
+    got = relative_value.named(signals.withColumn("fwd", relative_value.forward_by_date(["pair"], "spread_bp")), bonds).toPandas().set_index("obs_date").sort_index()
+    wide = residual.toPandas().pivot(index="obs_date", columns="isin", values="residual_bp")
+    spread = (wide.a - wide.b).dropna()
+    past = spread.shift(1).rolling(60, min_periods=30)
+    z = ((spread - past.mean()) / past.std()).dropna()
+    assert (got.isin_a == "a").all() and (got.isin_b == "b").all() and list(got.index) == list(z.index)
+    assert np.allclose(got.zscore, z) and np.allclose(got.spread_bp, spread[z.index])
+    scored = spread[z.index]
+    for when, value in scored.items():
+        target = (pd.Timestamp(when) + pd.tseries.offsets.BDay(10)).date()
+        later = next((scored[target + dt.timedelta(k)] for k in range(5) if target + dt.timedelta(k) in scored.index), None)
+        assert (later is None and pd.isna(got.fwd[when])) or got.fwd[when] == pytest.approx(later - value)
 
 
 def test_kinked_points(spark):
@@ -123,12 +151,6 @@ def test_resolution_ladder(spark):
     assert got == {1: ("LKB1", "label"), 2: ("LKB1", "label-no-letter"), 3: ("LKB2", "maturity+coupon"), 4: (None, "unresolved")}
 
 
-def test_index_links(spark):
-    page = '<p><a href="/f/1">Out </a><a href="/f/1">right volumes</a><a href="/f/2">Summary Report amended</a><a href="/f/3"> </a></p>'
-    got = [(r["href"], r["kind"], r["amended"]) for r in index_links(spark.createDataFrame([("p", page), ("q", None)], "page string, html string")).orderBy("place").collect()]
-    assert got == [("/f/1", "volumes", False), ("/f/2", "daily_summary", True)]
-    assert kind_of("nothing") is None
-
 
 def test_update_stream_takes_late_and_amended_rows(spark, tmp_path):
     schema = "obs_date date, isin string, seq long, v double"
