@@ -88,9 +88,14 @@ def residuals(quotes: DataFrame, lam: float = LAMBDA) -> DataFrame:
 
 def fits(quotes: DataFrame, lam: float = LAMBDA) -> DataFrame:
     """A row per fitted day: betas and the weighted error."""
+    return fits_of(residuals(quotes, lam))
+
+
+def fits_of(residual: DataFrame) -> DataFrame:
+    """The fits that ``residuals`` were taken from."""
     error = F.sqrt(F.sum(F.col("weight") * F.pow(F.col("residual_bp") / 100, 2)) / F.sum("weight")) * 100
     once = [F.first(c).alias(c) for c in ("beta0", "beta1", "beta2")]
-    return residuals(quotes, lam).groupBy("obs_date").agg(*once, F.count(F.lit(1)).alias("n_quotes"), error.alias("rmse_bp"))
+    return residual.groupBy("obs_date").agg(*once, F.count(F.lit(1)).alias("n_quotes"), error.alias("rmse_bp"))
 
 
 def trade_residuals(trades: DataFrame, fitted: DataFrame, lam: float = LAMBDA) -> DataFrame:

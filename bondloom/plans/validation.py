@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import zlib
+
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from bondloom.plans import market
+from bondloom.plans import market, relative_value, shape
 
 # Fixed values.
 HORIZONS, AR_ROWS = (5, 10, 20), 40
@@ -20,12 +24,12 @@ def z_bucket(z):  # noqa: ANN001, ANN201
     return out.otherwise("z>3")
 
 
-def z_bucket_reversion(signals: DataFrame) -> DataFrame:
+def z_bucket_reversion(signals: DataFrame, key: str = "isin", value: str = "residual_bp") -> DataFrame:
     """Mean change by rows after a score, per bucket of the score."""
-    rows = Window.partitionBy("isin").orderBy("obs_date")
+    rows = Window.partitionBy(key).orderBy("obs_date")
     df = signals.where("zscore is not null")
     for h in HORIZONS:
-        df = df.withColumn(f"fwd{h}", F.lead("residual_bp", h).over(rows) - F.col("residual_bp"))
+        df = df.withColumn(f"fwd{h}", F.lead(value, h).over(rows) - F.col(value))
     return df.groupBy(z_bucket(F.col("zscore")).alias("bucket")).agg(*[F.avg(f"fwd{h}").alias(f"fwd{h}") for h in HORIZONS], F.count(F.lit(1)).alias("n"))
 
 
@@ -82,3 +86,75 @@ def screen_lag(residual: DataFrame, gap: DataFrame) -> DataFrame:
     df = recent.join(moved, "idx").where("recent is not null and change5 is not null")
     label = F.when(F.col("recent") >= 15, "+15bp or more").when(F.col("recent") <= -15, "-15bp or less").otherwise("within 15bp")
     return df.groupBy(label.alias("trade_gap")).agg(F.avg("change1").alias("next_day_bp"), F.avg("change5").alias("five_days_bp"), F.avg((F.col("change5") > 0).cast("double")).alias("rose"), F.count(F.lit(1)).alias("n"))
+
+
+def error_by_age(scored: DataFrame) -> DataFrame:
+    """Forecast errors with the day's trades at hand, by the age of the bond's own last gap in rows."""
+    age = F.col("own_age")
+    name = F.when(age.isNull() | (age > 5), "older or never").when(age <= 0, "latest day").when(age <= 2, "1-2 days").otherwise("3-5 days")
+    size = F.abs("error")
+    return scored.where("lag = 1").groupBy(name.alias("age")).agg(F.avg(size).alias("mean_bp"), F.percentile(size, F.lit(0.5)).alias("band50_bp"), F.percentile(size, F.lit(0.8)).alias("band80_bp"), F.count(F.lit(1)).alias("n"))
+
+
+#: Random walks that each spread is set against, and events that a figure needs.
+RUNS, LEAST_SCORED = 500, 10
+
+
+def _came_back(series: np.ndarray, horizon: int) -> tuple[np.ndarray, np.ndarray]:
+    """(correlation of score and next move, mean gain of fading stretched scores) of each row of
+    ``series``; the move starts the day after. NaN where too little is scored."""
+    n = series.shape[1]
+    first = np.zeros((len(series), 1))
+    sums, squares = (np.hstack([first, np.cumsum(x, axis=1)]) for x in (series, series**2))
+    at = np.arange(n)
+    since = np.maximum(at - relative_value.ROWS, 0)
+    count = at - since
+    with np.errstate(invalid="ignore", divide="ignore"):
+        mean = (sums[:, at] - sums[:, since]) / count
+        sd = np.sqrt(np.maximum((squares[:, at] - squares[:, since] - count * mean**2) / (count - 1), 0))
+        z = np.where((count >= relative_value.LEAST_ROWS) & (sd > relative_value.LEAST_SD), (series - mean) / sd, np.nan)
+    move = np.full_like(series, np.nan)
+    if n > horizon + 1:
+        move[:, : n - horizon - 1] = series[:, horizon + 1 :] - series[:, 1 : n - horizon]
+    valid = ~np.isnan(z) & ~np.isnan(move)
+    far = valid & (np.abs(np.nan_to_num(z)) >= shape.SIGNAL_Z)
+    enough = (valid.sum(axis=1) >= LEAST_SCORED) & far.any(axis=1)
+    x, y = np.where(valid, z, 0), np.where(valid, move, 0)
+    with np.errstate(invalid="ignore", divide="ignore"):
+        k = valid.sum(axis=1)
+        dx, dy = (np.where(valid, v - (v.sum(axis=1) / k)[:, None], 0) for v in (x, y))
+        corr = (dx * dy).sum(axis=1) / np.sqrt((dx**2).sum(axis=1) * (dy**2).sum(axis=1))
+        gain = np.where(far, -np.sign(x) * y, 0).sum(axis=1) / far.sum(axis=1)
+    return np.where(enough, corr, np.nan), np.where(enough, gain, np.nan)
+
+
+def chance_test(spreads: DataFrame, runs: int = RUNS, seed: int = 0) -> DataFrame:
+    """(pair, horizon, n_days, corr, comes_back_bp, chance, cost_bp): whether stretched spreads come back by more
+    than random walks of the same daily moves and persistence do; ``chance`` is the share of
+    ``runs`` walks that come back at least as far.
+
+    Pairs and horizons are tested side by side; a series is a number a day. The seed is the
+    pair's and horizon's, so a lost task gives the same again.
+    """
+
+    def test(key: tuple, days: pd.DataFrame) -> pd.DataFrame:
+        pair, horizon = key
+        days = days.sort_values("obs_date")
+        values = days["spread_bp"].dropna().to_numpy()
+        moves = np.diff(values)
+        corr, gain = (float(x[0]) for x in _came_back(values[None, :], horizon)) if len(values) else (np.nan, np.nan)
+        chance = np.nan
+        if len(moves) > 2 and not np.isnan(gain):
+            lag = np.corrcoef(moves[1:], moves[:-1])[0, 1]
+            shocks = np.random.default_rng([seed, horizon, zlib.crc32(pair.encode())]).normal(size=(runs, len(values)))
+            steps = np.empty_like(shocks)
+            steps[:, 0] = shocks[:, 0]
+            for i in range(1, shocks.shape[1]):
+                steps[:, i] = lag * steps[:, i - 1] + shocks[:, i]
+            walks = np.cumsum(steps * moves.std(ddof=1) / steps.std(axis=1, keepdims=True), axis=1)
+            chance = float((_came_back(walks, horizon)[1] >= gain).mean())
+        cost = days["cost_bp"].median()
+        return pd.DataFrame({"pair": [pair], "horizon": [horizon], "n_days": [len(values)], "corr": [corr], "comes_back_bp": [gain], "chance": [chance], "cost_bp": [cost]})
+
+    each = spreads.select("pair", F.explode(F.array(*[F.lit(h) for h in HORIZONS])).alias("horizon"), "obs_date", "spread_bp", "cost_bp")
+    return each.groupBy("pair", "horizon").applyInPandas(test, "pair string, horizon int, n_days long, corr double, comes_back_bp double, chance double, cost_bp double")

@@ -90,9 +90,50 @@ def bond_history(spark: SparkSession, d: str) -> DataFrame:
     return quotes.join(trades, ["obs_date", "isin"], "full")
 
 
+def _bond_arrivals(spark: SparkSession, d: str) -> DataFrame:
+    """What three sources tell of bonds, in the order of ingest: results, trades, quotes."""
+    auctions = table(spark, d, "auctions").select("isin", F.col("auction_seq").alias("ingest_seq"), F.col("auction_date").alias("first_seen_date"), codecs.isin_maturity(F.col("isin")).alias("maturity_date"), codecs.isin_tenor(F.col("isin")).alias("tenor_years"))
+    trades = table(spark, d, "trade_summary").where("isin like 'LKB%'").select("isin", (F.col("trade_seq") + 10**12).alias("ingest_seq"), F.col("obs_date").alias("first_seen_date"), codecs.isin_maturity(F.col("isin")).alias("maturity_date"), codecs.isin_tenor(F.col("isin")).alias("tenor_years"))
+    sheet = table(spark, d, "bonds").select("isin", F.lit(2 * 10**12).alias("ingest_seq"), "first_seen_date", "maturity_date", "tenor_years", "coupon_pct", "series_label", F.coalesce("notes", F.when(F.month("maturity_date") > 6, "12%9%2027A")).alias("notes"))
+    return auctions.unionByName(trades, allowMissingColumns=True).unionByName(sheet, allowMissingColumns=True)
+
+
+def merge_bonds(spark: SparkSession, d: str) -> DataFrame:
+    return state.merge_bonds(_bond_arrivals(spark, d))
+
+
+def auction_observations(spark: SparkSession, d: str) -> DataFrame:
+    return state.auction_observations(table(spark, d, "auctions"))
+
+
+def cleared_days(spark: SparkSession, d: str) -> DataFrame:
+    """Volumes by the latest parse of their day."""
+    rows = table(spark, d, "observations").where("source = 'pdmo_daily' and volume_lkr is not null").select("obs_date", "isin", "volume_lkr", "obs_seq", F.col("ingested_at").cast("date").alias("parsed"))
+    return state.cleared_days(rows, "obs_date", "parsed").select("obs_date", "isin", "volume_lkr", "obs_seq")
+
+
+def latest_file_state(spark: SparkSession, d: str) -> DataFrame:
+    """Records of files from partial updates: each field as it was last set."""
+    t = table(spark, d, "trade_summary").where("raw_ref is not null").withColumn("url", F.col("raw_ref"))
+    landed = t.select("url", F.col("trade_seq").alias("seq"), F.col("ingested_at").cast("date").alias("posted_date"), F.col("security_type").alias("file_type"))
+    parsed = t.select("url", (F.col("trade_seq") + 1).alias("seq"), F.when(F.col("wavg_yield").isNotNull(), F.col("obs_date")).alias("report_date"), F.when(F.col("wavg_yield").isNull(), "failed").otherwise("ok").alias("parse_status"))
+    both = landed.unionByName(parsed, allowMissingColumns=True)
+    return state.last_known(both, ["url"], "seq", ["posted_date", "file_type", "report_date", "parse_status"])
+
+
+def resolution_tally(spark: SparkSession, d: str) -> DataFrame:
+    return resolve_isin(spark, d).groupBy("method").agg(F.count(F.lit(1)).alias("n"))
+
+
+def curve_coverage(spark: SparkSession, d: str) -> DataFrame:
+    f = curve.fits(curve.usable_quotes(spark, d))
+    return f.agg(F.count(F.lit(1)).alias("days"), F.min("obs_date").alias("first"), F.max("obs_date").alias("last"))
+
+
 QUERIES = {f.__name__: f for f in (
     isin_codec, label_normalise, date_parsers, money_percent, synthetic_keys, resolve_isin, admissible_quotes, merge_observations, latest_trades,
     latest_auctions, first_known_auction, last_known_trade, cleared_reparse, refit_candidates, bond_history,
+    merge_bonds, auction_observations, cleared_days, latest_file_state, resolution_tally, curve_coverage,
 )}
 
 _LABEL = r"""case when regexp_extract(cl, '%(\d{4})([A-Z]?)$', 1) <> '' then
@@ -104,8 +145,33 @@ _DAY_FIRST = r"""try_cast(case when regexp_matches(regexp_replace(maturity_text,
 _ISO = r"case when regexp_matches(maturity_text, '^\d{4}-\d\d-\d\d$') then try_cast(maturity_text as date) end"
 _LINES = rf"""with c as (select *, regexp_replace(printed_label, '[\s''’"]', '', 'g') cl from quote_lines),
 l as (select line_key, {_LABEL} as label, coalesce({_ISO}, {_DAY_FIRST}) as maturity, coupon_pct coupon, bid_yield, offer_yield from c)"""
+_RESOLVED = rf"""{_LINES}, b as (select * from bonds where isin like 'LKB%'),
+e as (select series_label, max(isin) ex from b where series_label is not null group by 1),
+o as (select regexp_replace(series_label, '[A-Z]+$', '') lo, max(isin) one from b where series_label is not null group by 1 having count(distinct isin) = 1),
+m as (select line_key, max(b.isin) bd from l join b on b.maturity_date = l.maturity and (b.coupon_pct is null or coupon is null or abs(b.coupon_pct - coupon) < 0.005e0) group by 1 having count(*) = 1),
+f as (select l.line_key, ex, one, bd, case when {_STEPS.format('label')} = 1 and coupon is not null and maturity is not null and (bid_yield - offer_yield) * 100 > 0 and (bid_yield - offer_yield) * 100 <= 50 then printf('SYN:%s:%.3f', strftime(maturity, '%Y-%m-%d'), coupon) end syn
+from l left join e on e.series_label = l.label left join o on o.lo = regexp_replace(l.label, '[A-Z]+$', '') left join m on m.line_key = l.line_key),
+rs as (select line_key, coalesce(ex, one, bd, syn) isin, case when ex is not null then 'label' when one is not null then 'label-no-letter' when bd is not null then 'maturity+coupon' when syn is not null then 'synthetic' else 'unresolved' end as method from f)"""
+_STEPS_OF = r"coalesce(len(regexp_extract_all({}, '(\d+(?:\.\d+)?)\s*%', 1)), 0)"
 
 SQL = {
+    "curve_coverage": f"{BASE} select count(*) as days, min(obs_date) as first, max(obs_date) as last from fit",
+    "merge_bonds": rf"""
+with a as (select isin, auction_date f from auctions where isin is not null union all select isin, obs_date from trade_summary where isin like 'LKB%' union all select isin, first_seen_date from bonds),
+g as (select isin, min(f) first_seen_date, max(isin in (select isin from auctions) or isin in (select isin from trade_summary)) seen from a group by 1),
+n as (select *, coalesce(notes, case when month(maturity_date) > 6 then '12%9%2027A' end) nt from bonds)
+select g.isin, n.coupon_pct, case when seen then make_date(2000 + cast(substr(g.isin, 7, 2) as int), ascii(substr(g.isin, 9, 1)) - 64, cast(substr(g.isin, 10, 2) as int)) else n.maturity_date end maturity_date,
+  case when seen then cast(substr(g.isin, 4, 3) as int) else n.tenor_years end tenor_years, case when {_STEPS_OF.format('nt')} > 1 and {_STEPS_OF.format('series_label')} <= 1 then null else nt end notes, series_label, g.first_seen_date
+from g left join n using (isin)""",
+    "auction_observations": """
+select auction_date obs_date, isin, 'auction' as source, r.w mid_yield, r.a volume_lkr, true executable, r.f raw_ref from (
+select auction_date, isin, arg_max(struct_pack(w := way_pct, a := accepted_lkr, f := raw_ref), auction_seq) r from auctions where way_pct is not null and kind <> 'announced' group by 1, 2)""",
+    "cleared_days": """
+select obs_date, isin, volume_lkr, obs_seq from observations where source = 'pdmo_daily' and volume_lkr is not null
+qualify cast(ingested_at as date) = max(cast(ingested_at as date)) over (partition by obs_date)""",
+    "latest_file_state": """
+select raw_ref url, cast(arg_max(ingested_at, trade_seq) as date) posted_date, arg_max(security_type, trade_seq) file_type, arg_max(obs_date, trade_seq) filter (wavg_yield is not null) report_date,
+arg_max(case when wavg_yield is null then 'failed' else 'ok' end, trade_seq) parse_status from trade_summary where raw_ref is not null group by 1""",
     "refit_candidates": f"""{BASE}, ck as (select obs_date, count(distinct isin) n from trade_summary where security_type = 'TBond' and wavg_yield is not null and ingested_at < obs_date + 3 group by 1),
 nw as (select obs_date, count(*) n from t group by 1)
 select fit.obs_date from fit left join ck using (obs_date) left join nw using (obs_date) where coalesce(nw.n, 0) <> coalesce(ck.n, 0)""",
@@ -123,12 +189,8 @@ try_cast(try_strptime(nullif(regexp_extract(maturity_text, '(\d{{1,2}})(?:st|nd|
 case when regexp_matches(maturity_text, '^[0-9]{{5}}$') then date '1899-12-30' + cast(maturity_text as int) end serial, trim(regexp_replace(maturity_text, '\s+', ' ', 'g')) squeezed from quote_lines""",
     "money_percent": "select trade_seq, volume_lkr rupees, case when wavg_yield / 100 > 0 and wavg_yield / 100 <= 1 then round(wavg_yield / 100 * 100, 6) end pct from trade_summary where volume_lkr is not null",
     "synthetic_keys": "select isin, case when coupon_pct is not null then printf('SYN:%s:%.3f', strftime(maturity_date, '%Y-%m-%d'), coupon_pct) end as key from bonds",
-    "resolve_isin": rf"""{_LINES}, b as (select * from bonds where isin like 'LKB%'),
-e as (select series_label, max(isin) ex from b where series_label is not null group by 1),
-o as (select regexp_replace(series_label, '[A-Z]+$', '') lo, max(isin) one from b where series_label is not null group by 1 having count(distinct isin) = 1),
-m as (select line_key, max(b.isin) bd from l join b on b.maturity_date = l.maturity and (b.coupon_pct is null or coupon is null or abs(b.coupon_pct - coupon) < 0.005e0) group by 1 having count(*) = 1)
-select l.line_key, coalesce(ex, one, bd) isin, case when ex is not null then 'label' when one is not null then 'label-no-letter' when bd is not null then 'maturity+coupon' else 'unresolved' end as method
-from l left join e on e.series_label = l.label left join o on o.lo = regexp_replace(l.label, '[A-Z]+$', '') left join m on m.line_key = l.line_key""",
+    "resolve_isin": f"{_RESOLVED} select line_key, isin, method from rs",
+    "resolution_tally": f"{_RESOLVED} select method, count(*) n from rs group by 1",
     "admissible_quotes": rf"""{_LINES} select line_key, label, coupon from l where {_STEPS.format('label')} = 1 and coupon is not null and (bid_yield - offer_yield) * 100 > 0 and (bid_yield - offer_yield) * 100 <= 50""",
     "merge_observations": """
 with q as (select obs_date, isin, source, arg_max(struct_pack(b := bid_yield, o := offer_yield), obs_seq) r from observations where bid_yield is not null or offer_yield is not null group by 1, 2, 3),

@@ -93,7 +93,7 @@ def test_pairs_by_median_tenor(spark):
 def test_switches_equal_their_definition(spark):
     """Spreads of pairs against pandas' own rolling figures, and the change by date."""
     rng = random.Random(2)
-    day = lambda k: dt.date(2026, 1, 5) + dt.timedelta(k // 5 * 7 + k % 5 + (2 if k == 47 else 0))
+    day = lambda k: dt.date(2026, 1, 5) + dt.timedelta(k // 5 * 7 + k % 5 + (1 if k == 49 else 0))
     data = [(day(k), n, t, rng.gauss(0, 20)) for n, t in (("a", 2.0), ("b", 3.5), ("c", 30.0)) for k in range(100) if rng.random() < 0.9]
     residual = spark.createDataFrame(data, RES)
     bonds = checkpointed(relative_value.pair_bonds(residual, spark.createDataFrame([], "isin string")))
