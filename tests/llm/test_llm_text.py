@@ -3,10 +3,11 @@ import itertools
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from bondloom.llm.mixing import draw, shares, sized
 from bondloom.llm.packing import Packer, fill, hilbert, packed
-from bondloom.llm.pii import Disclosing, disclosing_terms, find_details, personal_details, redact, replaced
+from bondloom.llm.pii import disclosing, find_details, personal_details, redact, replaced
 from bondloom.llm.tokens import token_ids
 
 DOCS = "doc_id long, text string, source string, n_tokens string, curve int"
@@ -91,34 +92,48 @@ PEOPLE = [f"{a}{b} {c}{d}" for a, b, c, d in itertools.product(("Brel", "Tavo",
 def corpus(spark):
     lines = []
     for k, name in enumerate(PEOPLE * 3):
-        lines.append(f"Contact: {name} on Mobile 099 {100 + k} 25 21.\nThe desk sold {k} of the series; Batch 099519519/5 was rejected.")
-        lines.append(f"Holder {name} confirmed by phone, NIC 84{1000000 + k}v. The registrar may substitute the series.")
+        lines.append(f"Contact: {name} on Mobile 099 {100 + k} 25 21.\nThe desk sold {k} of the series; Batch 099519519/5 was rejected. Value date is 02.03.2026.")
+        lines.append(f"Holder {name} confirmed by phone, NIC 84{1000000 + k}v. The registrar may substitute the series. Sent to {k} Temple Bell Rd, Port Asher 9{k % 10}001; my no is 099 {100 + k} 25 21")
     return spark.createDataFrame([(k, t) for k, t in enumerate(lines)], "doc_id long, text string")
 
 
 def test_details_by_disclosure(spark):
-    known = disclosing_terms(corpus(spark))
+    asks, skipped = disclosing(corpus(spark))
+    known = {r["ask"] for r in asks.collect()}
+    assert "the" in skipped and "brelwin" not in skipped and "street:rd" in known and "before:phone:no is" in known and "plain:phone:date is" in known
     text = (
         "Mr. Brelwin Yarbley signed off (brel.y [at] desk [dot] example), ZANUWICK.\n"
-        "Registered at No. 14/3, Temple Bell Rd,\nPort Asher 96981. Call tel:099 123 45 67 ext 5, 841234567V, ring +94 99 123 4567.\n"
-        "Lantern Lane Capital kept its bid at 2024-05-05; amount 4 534 000 000; Form 94-940-940; bid@10.98"
+        "Registered at No. 14/3, Temple Bell Rd,\nPort Asher 96981. Call tel:099 123 45 67 ext 5, 841234567V, ring +94 99 123 4567, my no is +94991234567, mobile 0991234567.\n"
+        "Lantern Lane Capital kept its bid at 2024-05-05; amount 4 534 000 000; Form 94-940-940; bid@10.98, settled: date is 05.06.2024"
     )
-    got = {(kind, text[a:b]) for kind, a, b in find_details(text, known)}
+    got = {(kind, value) for kind, _, value in find_details(text, known)}
     assert got == {
         ("person", "Brelwin Yarbley"), ("email", "brel.y [at] desk [dot] example"), ("address", "No. 14/3, Temple Bell Rd,\nPort Asher 96981"),
-        ("phone", "099 123 45 67"), ("id_number", "841234567V"), ("phone", "+94 99 123 4567"),
+        ("phone", "099 123 45 67"), ("id_number", "841234567V"), ("phone", "+94991234567"), ("phone", "0991234567"),
     }
     clean = replaced(text, known)
     assert "[PERSON] signed off ([EMAIL])" in clean and "Lantern Lane Capital" in clean and "ext 5" in clean
 
 
+def test_disclosure_keeps_its_precision_among_many_words(spark):
+    """As many names as a hashed set would be full of: each word is looked up by itself."""
+    n = 200_000
+    name = lambda k: "zq" + "".join(chr(97 + k // 26**i % 26) for i in range(4)) + "ov"
+    other = lambda k: "br" + "".join(chr(97 + k // 26**i % 26) for i in range(4)) + "um"
+    texts = [" ".join(f"Mr. {name(k).title()} {name(k + 1).title()} sold the series to the desk at par" for k in range(b, b + 100)) for b in range(0, n, 100)]
+    texts += [" ".join(f"{other(k).title()} {other(k + 1).title()} rose to par in the two weeks" for k in range(b, b + 100)) for b in range(0, n, 100)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = personal_details(docs).groupBy("pii_type").agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("value_text").startswith("Br")).alias("wrong")).collect()
+    assert [(r["pii_type"], r["n"], r["wrong"]) for r in found] == [("person", n, 0)]
+
+
 def test_details_of_odd_texts(spark):
     df = spark.createDataFrame([(1, None, 1), (2, "", 1), (3, "mail x@y.example and x@y.example", 1), (None, "x@y.example", 1)], "doc_id long, text string, pii_type int")
     assert [tuple(r) for r in personal_details(df).collect()] == [(3, "email", "x@y.example")]
     assert {r["doc_id"]: r["text"] for r in redact(df).collect()} == {1: None, 2: "", 3: "mail [EMAIL] and [EMAIL]", None: "[EMAIL]"}
     assert personal_details(df.limit(0)).count() == 0
-    assert find_details("word " * 200_000 + "x@y.example", Disclosing())[0][0] == "email"
+    assert find_details("word " * 200_000 + "x@y.example", set())[0][0] == "email"
 
 
 def test_dates_are_no_details():
-    assert find_details(f"On {dt.date(2024, 5, 5)} at 099.5 of 2024-05-05 12:30", Disclosing()) == []
+    assert find_details(f"On {dt.date(2024, 5, 5)} at 099.5 of 2024-05-05 12:30", {"before:phone:on"}) == []
