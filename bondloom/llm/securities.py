@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 MONTHS = ("jan", "feb", "mar", "apr", "may", "jun", "jul", "aug", "sep", "oct", "nov", "dec")
 
 #: Days that a printed maturity may be off, and half a printed digit of a coupon.
-NEAR_DAYS, NEAR_COUPON, ROUGH_COUPON = 3, 0.0051, 0.0501
+NEAR_DAYS, NEAR_COUPON, ROUGH_COUPON, ROUGH_BIN = 3, 0.0051, 0.0501, 0.06
 
 #: Weights of the rules. A conflict rule fires if all evidence of its kind disagrees.
 WEIGHTS = {"date": 4.0, "days": 2.0, "rate": 3.0, "coupon": 2.0, "year": 1.0, "month": 0.5, "tenor": 0.7, "letter": 0.5}
@@ -126,20 +126,25 @@ def candidate_pairs(read: DataFrame, bonds: DataFrame) -> DataFrame:
 
     held = bonds.where("isin is not null and maturity_date is not null").select("isin", F.col("coupon_pct").alias("b_coupon"), F.col("maturity_date").alias("b_day"), F.col("tenor_years").alias("b_tenor"), label_of("series_label").alias("l"))
     held = held.withColumn("b_rates", F.array_distinct(F.array_compact(F.concat(F.array("b_coupon"), F.coalesce("l.rates", F.array().cast("array<double>")))))).withColumn("b_letter", F.col("l.letter")).drop("l")
-    tag = lambda coupon, year: F.concat(F.lit("c"), F.round(coupon * 20).cast("long").cast("string"), F.lit(":"), year.cast("string"))
+    tag = lambda coupon, year: F.concat(F.lit("c"), F.round(coupon / ROUGH_BIN).cast("long").cast("string"), F.lit(":"), year.cast("string"))
     held = held.withColumn("block", F.explode(F.concat(F.array(F.col("b_day").cast("string")), F.transform("b_rates", lambda c: tag(c, F.year("b_day"))))))
 
     said_days = F.array_compact(F.concat("days", F.array("by_days")))
     near = F.flatten(F.transform(said_days, lambda d: F.transform(F.sequence(F.lit(-NEAR_DAYS), F.lit(NEAR_DAYS)), lambda k: F.date_add(d, k).cast("string"))))
     years = F.array_distinct(F.array_compact(F.array("label_year", "year")))
-    coupons = F.array_distinct(F.array_compact(F.concat(F.slice("rates", 1, 1), F.array("coupon"))))
-    tags = F.flatten(F.transform(years, lambda y: F.transform(coupons, lambda c: tag(c, y))))
+    coupons = F.array_distinct(F.array_compact(F.concat("rates", F.array("coupon"))))
+    # A bin is as wide as a coupon may be off, so bonds that agree lie in it or beside it.
+    beside = lambda c: F.array(*[c + k * ROUGH_BIN for k in (-1, 0, 1)])
+    near_coupons = F.flatten(F.transform(coupons, beside))
+    tags = F.flatten(F.transform(years, lambda y: F.transform(near_coupons, lambda c: tag(c, y))))
     asks = read.withColumn("block", F.explode(F.array_distinct(F.concat(near, tags))))
     pairs = asks.join(held, "block").drop("block").dropDuplicates(["key", "isin"])
 
     nearest = lambda said: F.array_min(F.transform(said, lambda d: F.abs(F.date_diff(d, F.col("b_day")))))
     by_distance = lambda n: F.when(n == 0, 1.0).when(n <= NEAR_DAYS, 0.9).otherwise(F.lit(0.0))
-    rates = F.array_max(F.transform("b_rates", lambda c: _agree(F.get("rates", F.lit(0)), c)))
+    # Every rate that a line prints must be one of the bond's.
+    fits = F.transform("rates", lambda r: F.array_max(F.transform("b_rates", lambda c: _agree(r, c))))
+    rates = F.aggregate(fits, F.lit(0.0), lambda s, x: s + x) / F.size("rates")
     field = F.array_max(F.transform("b_rates", lambda c: _agree(F.col("coupon"), c)))
     year_fits = F.when(F.col("year") == F.year("b_day"), 0.9).otherwise(F.lit(0.0))
     off_tenor = F.abs(F.col("tenor") - F.col("b_tenor"))

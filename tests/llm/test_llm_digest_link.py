@@ -1,11 +1,12 @@
 import datetime as dt
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from bondloom.llm.digest import build_digests, certify, digest_quantiles, exact_quantiles, merge_digests, split_hot
-from bondloom.llm.linkage import best_links, soft_links
+from bondloom.llm.linkage import best_links, soft_links, solve_group
 from bondloom.llm.securities import candidate_pairs, read_label, read_lines, read_maturity, read_synthetic
 
 
@@ -93,5 +94,55 @@ def test_links_of_empty_tables(spark):
 
 def test_exclusivity(spark):
     pairs = spark.createDataFrame([("r", "x", None, 1.0, 8.0), ("r", "y", None, 0.9, 8.0), ("s", "x", None, 1.0, 8.0)], "r string, e string, g string, pull double, weight double")
-    got = {(a["r"], a["e"]): a["confidence"] for a in soft_links(pairs, record="r", entity="e", alike="g", pull="pull", weight="weight", rounds=30).collect()}
-    assert got["r", "x"] + got["r", "y"] == pytest.approx(1, abs=0.02) and got["r", "x"] > got["r", "y"] and got["s", "x"] > 0.9
+    links = soft_links(pairs, record="r", entity="e", alike="g", pull="pull", weight="weight")
+    got = {(a["r"], a["e"]): a["confidence"] for a in links.collect()}
+    assert got["r", "x"] + got["r", "y"] == pytest.approx(1, abs=1e-5) and got["r", "x"] > got["r", "y"] and got["s", "x"] > 0.9
+    assert {(a["r"], a["e"]) for a in best_links(links, record="r", entity="e").collect()} == {("r", "x"), ("s", "x")}
+    tie = pairs.withColumn("pull", F.lit(1.0))
+    assert {a["r"] for a in best_links(soft_links(tie, record="r", entity="e", alike="g", pull="pull", weight="weight"), record="r", entity="e").collect()} == {"s"}
+
+
+def cost(z, m, w, n, t):
+    y = (n[:, None] * z).sum(axis=0) / n.sum()
+    return float((n[:, None] * (w * (z - m) ** 2 + t * (z - y) ** 2)).sum())
+
+
+def test_group_is_at_its_minimum():
+    """No small feasible move from the solution lowers the sum of the rules over all records."""
+    rng = np.random.default_rng(1)
+    for _ in range(20):
+        m, w, n = rng.random((4, 3)), rng.random((4, 3)) * 9 + 0.5, rng.integers(1, 50, 4).astype(float)
+        z, support, used = solve_group(m, w, n, 1.0)
+        assert used < 20_000 and (z >= 0).all() and (z.sum(axis=1) <= 1 + 1e-9).all() and (support >= z - 1e-5).all()
+        best = cost(z, m, w, n, 1.0)
+        for _ in range(300):
+            moved = np.maximum(z + rng.normal(0, 0.01, z.shape), 0)
+            moved /= np.maximum(1, moved.sum(axis=1, keepdims=True))
+            assert cost(moved, m, w, n, 1.0) >= best - 1e-6
+
+
+def test_equal_records_are_one_variable(spark):
+    """A hot group: many records of few kinds; a doubtful one follows its group."""
+    rows = [(f"r{k}", "x", "g", 1.0, 5.0) for k in range(500)] + [("odd", "x", "g", 0.2, 1.0), ("odd", "y", "g", 0.4, 1.0), ("alone", "x", None, 0.2, 1.0)]
+    pairs = spark.createDataFrame(rows, "r string, e string, g string, pull double, weight double")
+    got = {(a["r"], a["e"]): a["confidence"] for a in soft_links(pairs, record="r", entity="e", alike="g", pull="pull", weight="weight", transitivity=4.0).collect()}
+    assert got["odd", "x"] > 0.6 and got["alone", "x"] < 0.2 and len({round(got[f"r{k}", "x"], 6) for k in range(500)}) == 1
+
+
+def test_blocking_loses_no_pair_that_agrees(spark):
+    """Against all pairs of a small set: lines that fit a bond's day or coupon and year meet it."""
+    rng = random.Random(9)
+    bonds = [(f"LKB{k:03d}", round(rng.uniform(5, 14), 2), dt.date(2026, 1, 1) + dt.timedelta(rng.randrange(4000)), 5, None) for k in range(120)]
+    lines = []
+    for k in range(400):
+        _, coupon, day, *_ = rng.choice(bonds)
+        rate = coupon + rng.choice((0, 0.05, -0.05, 0.004))
+        label = f"3.00%{rate:.2f}%{day.year}" if k % 3 == 0 else f"{rate:.2f}%{day.year}"
+        lines.append((str(k), None, label, None, str(day + dt.timedelta(rng.randrange(-3, 4))) if k % 2 else None, None, None, None))
+    got = {(r["key"], r["isin"]) for r in candidate_pairs(read_lines(spark.createDataFrame(lines, LINES)), spark.createDataFrame(bonds, BONDS)).collect()}
+    for key, _, label, _, text, *_ in lines:
+        rates, year, *_ = read_label(label)
+        days = read_maturity(text)[0]
+        for isin, coupon, day, *_ in bonds:
+            if any(abs((d - day).days) <= 3 for d in days) or (year == day.year and any(abs(r - coupon) <= 0.0501 for r in rates)):
+                assert (key, isin) in got
