@@ -86,7 +86,9 @@ def soft_links(pairs: DataFrame, *, record: str, entity: str, alike: str, pull:
     records = rows.groupBy("r").agg(F.min("g").alias("g"), F.sort_array(F.collect_list(evidence)).alias("said"))
     records = records.withColumn("kind", F.sha2(F.to_json("said"), 256)).withColumn("g", F.coalesce(F.concat(F.lit("g:"), "g"), F.concat(F.lit("k:"), "kind")))
     kinds = records.groupBy("g", "kind").agg(F.count(F.lit(1)).alias("n"), F.first("said").alias("said"))
-    groups = kinds.groupBy("g").agg(F.collect_list(F.struct("kind", "n", "said")).alias("kinds"))
+    # Solving costs far more than its few bytes tell, so groups are spread by number, not size.
+    spread = kinds.repartition(int(pairs.sparkSession.conf.get("spark.sql.shuffle.partitions")), "g")
+    groups = spread.groupBy("g").agg(F.collect_list(F.struct("kind", "n", "said")).alias("kinds"))
 
     def solve(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
