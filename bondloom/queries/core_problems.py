@@ -25,19 +25,47 @@ def yield_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quotes.unionByName(trades).select(F.struct("isin", "source", "r.tag").alias("series"), "r.tag", "day", "stamp", "r.value", "seq")
 
 
-def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _faults(spark: SparkSession, sf_dir: str, *kinds: str) -> DataFrame:
     found = faulty_readings(yield_readings(spark, sf_dir))
+    found = found.where(F.col("fault").isin(*kinds)) if kinds else found
     name = lambda k: F.get(F.array(*[F.lit(r[k]) for r in READINGS]), F.col("tag"))
     return found.select(name(0).alias("table_name"), F.col("seq").alias("row_seq"), name(1).alias("reading"))
 
 
+def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _faults(spark, sf_dir)
+
+
+def p1_impossible(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _faults(spark, sf_dir, "impossible")
+
+
+def p1_stuck(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _faults(spark, sf_dir, "stuck")
+
+
 def p3_trailing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return trailing_totals(table(spark, sf_dir, "trade_summary"), "isin", "obs_date", "trade_seq", ["volume_lkr", "n_trades"])
 
 
-QUERIES = {"p1_found": p1_found, "p3_trailing": p3_trailing}
+QUERIES = {"p1_found": p1_found, "p1_impossible": p1_impossible, "p1_stuck": p1_stuck, "p3_trailing": p3_trailing}
 
+_READINGS = """with r as (
+  select 'observations' table_name, 'bid_yield' reading, isin, source, obs_date d, coalesce(stamped_at, timestamp '1970-01-01') st, obs_seq row_seq, bid_yield x from observations
+  union all select 'observations', 'mid_yield', isin, source, obs_date, coalesce(stamped_at, timestamp '1970-01-01'), obs_seq, mid_yield from observations
+  union all select 'trade_summary', 'wavg_yield', isin, null, obs_date, timestamp '1970-01-01', trade_seq, wavg_yield from trade_summary),
+v as (select * from r where isin is not null and d is not null and x is not null and not isnan(x))"""
 SQL = {
+    "p1_impossible": f"{_READINGS} select table_name, row_seq, reading from v where x < 1 or x > 30",
+    # A run is stuck at 6 readings and more, and over 4 times the run that the median reading is in.
+    "p1_stuck": f"""{_READINGS}, u as (select table_name, reading, isin, source, d, st, x, min(row_seq) seq from v where x between 1 and 30 group by all),
+z as (select *, coalesce(x = lag(x) over w, false) zero from u window w as (partition by reading, isin, source order by d, st, seq)),
+g as (select *, sum(case when zero then 0 else 1 end) over (partition by reading, isin, source order by d, st, seq) run from z),
+l as (select reading, isin, source, run, count(*) len from g group by 1, 2, 3, 4),
+c as (select *, sum(len) over (partition by reading, isin, source order by len range unbounded preceding) upto, sum(len) over (partition by reading, isin, source) n from l),
+k as (select reading, isin, source, min(len) usual from c where upto * 2 >= n group by 1, 2, 3),
+h as (select g.* from g join l on g.reading = l.reading and g.isin = l.isin and g.source is not distinct from l.source and g.run = l.run join k on g.reading = k.reading and g.isin = k.isin and g.source is not distinct from k.source where zero and len >= 6 and len > usual * 4)
+select v.table_name, v.row_seq, v.reading from v join h on v.reading = h.reading and v.isin = h.isin and v.source is not distinct from h.source and v.d = h.d and v.st = h.st and v.x = h.x""",
     "p3_trailing": """
 with valid as (select isin, obs_date, arg_max(coalesce(volume_lkr, 0), trade_seq) v, arg_max(coalesce(n_trades, 0), trade_seq) t
   from trade_summary where isin is not null and obs_date is not null group by 1, 2),
