@@ -35,7 +35,7 @@ def book_waiting(spark: SparkSession, d: str) -> DataFrame:
 def _switch_parts(spark: SparkSession, d: str, f: book.Facts) -> tuple[DataFrame, DataFrame, DataFrame]:
     bonds = checkpointed(relative_value.pair_bonds(f.residual, table(spark, d, "auctions")))
     pairs = relative_value.switch_signals(f.residual.select("obs_date", "isin", "tau", "residual_bp"), bonds)
-    return pairs, bonds, checkpointed(relative_value.switch_reversion(pairs))
+    return pairs, bonds, checkpointed(relative_value.switch_reversion(f.residual, bonds))
 
 
 def book_switches(spark: SparkSession, d: str) -> DataFrame:
