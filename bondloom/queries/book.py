@@ -56,13 +56,15 @@ def book_tiles(spark: SparkSession, d: str) -> DataFrame:
 
 def signal_stats(spark: SparkSession, d: str) -> DataFrame:
     """(key, value, n) of every measured statistic that has enough events."""
-    f = facts(spark, d)
+    columns = ("obs_date", "isin", "tau", "mid", "spread_bp", "weight", "beta0", "beta1", "beta2", "residual_bp")
+    residual = checkpointed(curve.residuals(curve.usable_quotes(spark, d)).select(*columns))
     trades = checkpointed(curve.usable_trades(spark, d))
-    switch = _switch_parts(spark, d, f)[2].where("capture_bp is not null")
+    bonds = checkpointed(relative_value.pair_bonds(residual, table(spark, d, "auctions")))
+    switch = relative_value.switch_reversion(residual, bonds).where("capture_bp is not null")
     switch = switch.select(F.concat(F.lit("switch_reversion_10d_z"), F.col("threshold").cast("int").cast("string")).alias("key"), F.col("capture_bp").alias("value"), "n")
-    shapes = shape.reversion(shape.spread_signals(shape.spreads(shape.points(f.residual)))).where("reversion_bp is not null")
+    shapes = shape.reversion(shape.spread_signals(shape.spreads(shape.points(residual)))).where("reversion_bp is not null")
     shapes = shapes.select(F.concat(F.lit("curve_reversion_10d_"), F.col("pair")).alias("key"), F.col("reversion_bp").alias("value"), "n")
-    figures = market.accuracy(market.backtest(f.residual, trades))
+    figures = market.accuracy(market.backtest(residual, trades))
     names = ("mae_bp", "band50_bp", "band80_bp", "screen_mae_bp", "screen_band50_bp", "old_mae_bp")
     suffix = F.when(F.col("lag") == 1, "fresh").otherwise("lagged")
     each = F.explode(F.array(*[F.struct(F.concat(F.lit(f"dealing_{c}_"), suffix).alias("key"), F.col(c).alias("value")) for c in names])).alias("s")

@@ -3,12 +3,14 @@
 import datetime as dt
 import random
 
+import duckdb
 import numpy as np
 import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
 from bondloom.plans import relative_value
+from bondloom.queries import book as book_queries
 from bondloom.session import checkpointed
 
 BONDS, DAYS = 70, 100
@@ -73,3 +75,18 @@ def test_captures_equal_their_definition_and_pair_rows_stay_in_memory(spark, hel
     assert all(got[t]["capture_bp"] == pytest.approx(np.mean(x)) for t, x in gains.items())
     pair_rows = BONDS * (BONDS - 1) / 2 * DAYS
     assert bytes_written < 5 * pair_rows  # a pair's number, day and spread take 20
+
+
+def test_statistics_need_neither_the_book_nor_pair_rows(spark, monkeypatch):
+    def unasked(*_):
+        raise AssertionError
+
+    monkeypatch.setattr(book_queries, "facts", unasked)
+    monkeypatch.setattr(relative_value, "switch_signals", unasked)
+    d = "/root/testdata/sf0.001"
+    con = duckdb.connect()
+    for name in ("observations", "trade_summary", "auctions", "bonds"):
+        con.execute(f"create view {name} as select * from '{d}/{name}.parquet'")
+    expected = {key: (value, n) for key, value, n in con.execute(book_queries.SQL["signal_stats"]).fetchall()}
+    got = {r["key"]: (r["value"], r["n"]) for r in book_queries.signal_stats(spark, d).collect()}
+    assert got == expected and got
