@@ -90,3 +90,28 @@ def test_statistics_need_neither_the_book_nor_pair_rows(spark, monkeypatch):
     expected = {key: (value, n) for key, value, n in con.execute(book_queries.SQL["signal_stats"]).fetchall()}
     got = {r["key"]: (r["value"], r["n"]) for r in book_queries.signal_stats(spark, d).collect()}
     assert got == expected and got
+
+
+def test_scores_equal_their_definition_and_pair_rows_stay_in_memory(spark, held, expected):
+    got = []
+    bytes_written = shuffled(spark, lambda: got.append(relative_value.named(relative_value.switch_signals(*held), held[1]).toPandas()))
+    rows = got[0].set_index(["isin_a", "isin_b", "obs_date"]).sort_index()
+    assert len(rows) == sum(len(x) for x in expected.values()) and rows.index.is_unique
+    for pair, x in expected.items():
+        mine = rows.loc[pair]
+        assert list(mine.index) == list(x.index) and np.allclose(mine.zscore, x.z) and np.allclose(mine.spread_bp, x.spread)
+    assert bytes_written < 5 * BONDS * (BONDS - 1) / 2 * DAYS
+
+
+def test_a_faulty_spread_is_forgotten_after_its_window(spark):
+    """A running sum would keep the rounding of 1e9 squared for good."""
+    rng = random.Random(1)
+    data = [(day(k), n, 2.0, 1e9 if n == "a" and k == 3 else rng.gauss(0, 2)) for n in "ab" for k in range(DAYS)]
+    residual = checkpointed(spark.createDataFrame(data, RES))
+    bonds = checkpointed(relative_value.pair_bonds(residual, spark.createDataFrame([], "isin string")))
+    got = relative_value.switch_signals(residual, bonds).toPandas().set_index("obs_date").zscore
+    wide = residual.toPandas().pivot(index="obs_date", columns="isin", values="residual_bp")
+    spread = wide.a - wide.b
+    for k in range(64, DAYS):
+        past = spread.iloc[k - 60 : k]
+        assert got[day(k)] == pytest.approx((spread.iloc[k] - past.mean()) / past.std(), abs=1e-9)
