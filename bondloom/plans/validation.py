@@ -3,25 +3,28 @@
 from __future__ import annotations
 
 import zlib
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from bondloom.operators import switches
 from bondloom.plans import market, relative_value, shape
 
 # Fixed values.
 HORIZONS, AR_ROWS = (5, 10, 20), 40
+EDGES, LAST_BUCKET = ((-3, "z<-3"), (-2, "-3..-2"), (-1, "-2..-1"), (1, "-1..1"), (2, "1..2"), (3, "2..3")), "z>3"
 CYCLE = ((-10, -6), (-5, -1), (0, 0), (1, 7), (8, 14), (15, 30))
 
 
 def z_bucket(z):  # noqa: ANN001, ANN201
-    edges = ((-3, "z<-3"), (-2, "-3..-2"), (-1, "-2..-1"), (1, "-1..1"), (2, "1..2"), (3, "2..3"))
     out = None
-    for edge, name in edges:
+    for edge, name in EDGES:
         out = F.when(z <= edge, name) if out is None else out.when(z <= edge, name)
-    return out.otherwise("z>3")
+    return out.otherwise(LAST_BUCKET)
 
 
 def z_bucket_reversion(signals: DataFrame, key: str = "isin", value: str = "residual_bp") -> DataFrame:
@@ -33,6 +36,31 @@ def z_bucket_reversion(signals: DataFrame, key: str = "isin", value: str = "resi
     return df.groupBy(z_bucket(F.col("zscore")).alias("bucket")).agg(*[F.avg(f"fwd{h}").alias(f"fwd{h}") for h in HORIZONS], F.count(F.lit(1)).alias("n"))
 
 
+def switch_bucket_reversion(residual: DataFrame, bonds: DataFrame) -> DataFrame:
+    """``z_bucket_reversion`` of all switches: sums of each block of pairs, then their means."""
+    edges, names = np.array([edge for edge, _ in EDGES], float), [*[name for _, name in EDGES], LAST_BUCKET]
+    horizons = HORIZONS
+
+    def take(blocks: Iterator[switches.Scored]) -> Iterator[pa.RecordBatch]:
+        n = np.zeros(len(names), "int64")
+        moves, counts = np.zeros((len(horizons), len(names))), np.zeros((len(horizons), len(names)), "int64")
+        for x in blocks:
+            bucket = np.searchsorted(edges, x.z)
+            n += np.bincount(bucket, minlength=len(names))
+            for k, h in enumerate(horizons):
+                same = x.at[h:] == x.at[:-h]
+                of, move = bucket[:-h][same], (x.spread[h:] - x.spread[:-h])[same]
+                moves[k] += np.bincount(of, move, len(names))
+                counts[k] += np.bincount(of, minlength=len(names))
+        made = {"bucket": names, "n": n, **{f"s{h}": moves[k] for k, h in enumerate(horizons)}, **{f"c{h}": counts[k] for k, h in enumerate(horizons)}}
+        yield pa.RecordBatch.from_pydict({c: pa.array(v) for c, v in made.items()})
+
+    schema = ", ".join(["bucket string", "n long", *[f"s{h} double" for h in HORIZONS], *[f"c{h} long" for h in HORIZONS]])
+    sums = switches.swept(residual, bonds, relative_value.RULE, take, schema).groupBy("bucket").agg(*[F.sum(c).alias(c) for c in ("n", *[f"{x}{h}" for x in "sc" for h in HORIZONS])])
+    means = [F.when(F.col(f"c{h}") > 0, F.col(f"s{h}") / F.col(f"c{h}")).alias(f"fwd{h}") for h in HORIZONS]
+    return sums.where("n > 0").select("bucket", *means, "n")
+
+
 def z_correlation(signals: DataFrame) -> DataFrame:
     """Per horizon: correlation of score and change, capture and hit rate beyond 2."""
     rows = Window.partitionBy("isin").orderBy("obs_date")

@@ -79,8 +79,7 @@ def dealing_by_age(spark: SparkSession, d: str) -> DataFrame:
 def switch_bucket_reversion(spark: SparkSession, d: str) -> DataFrame:
     f = checkpointed(curve.residuals(curve.usable_quotes(spark, d)).select("obs_date", "isin", "tau", "residual_bp"))
     bonds = checkpointed(relative_value.pair_bonds(f, table(spark, d, "auctions")))
-    s = relative_value.switch_signals(f, bonds)
-    return r4(validation.z_bucket_reversion(s, "pair", "spread_bp"), "fwd5", "fwd10", "fwd20")
+    return r4(validation.switch_bucket_reversion(f, bonds), "fwd5", "fwd10", "fwd20")
 
 
 def spread_chance_test(spark: SparkSession, d: str) -> DataFrame:

@@ -9,7 +9,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from bondloom.plans import relative_value
+from bondloom.plans import relative_value, validation
 from bondloom.queries import book as book_queries
 from bondloom.session import checkpointed
 
@@ -115,3 +115,15 @@ def test_a_faulty_spread_is_forgotten_after_its_window(spark):
     for k in range(64, DAYS):
         past = spread.iloc[k - 60 : k]
         assert got[day(k)] == pytest.approx((spread.iloc[k] - past.mean()) / past.std(), abs=1e-9)
+
+
+def test_buckets_equal_their_definition_and_pair_rows_stay_in_memory(spark, held, expected):
+    got = {}
+    bytes_written = shuffled(spark, lambda: got.update({r["bucket"]: r for r in validation.switch_bucket_reversion(*held).collect()}))
+    names = ["z<-3", "-3..-2", "-2..-1", "-1..1", "1..2", "2..3", "z>3"]
+    rows = pd.concat([x.assign(**{f"fwd{h}": x.spread.shift(-h) - x.spread for h in (5, 10, 20)}) for x in expected.values()])
+    by = rows.groupby(pd.cut(rows.z, [-np.inf, -3, -2, -1, 1, 2, 3, np.inf], labels=names), observed=True)
+    assert {b: r["n"] for b, r in got.items()} == by.size().to_dict()
+    for h in (5, 10, 20):
+        assert {b: r[f"fwd{h}"] for b, r in got.items()} == pytest.approx(by[f"fwd{h}"].mean().to_dict())
+    assert bytes_written < 5 * BONDS * (BONDS - 1) / 2 * DAYS
