@@ -42,7 +42,7 @@ def frames(spark: SparkSession, d: str, top: int = 6) -> dict[str, DataFrame]:
     spreads = checkpointed(shape.spread_signals(shape.spreads(shape.points(f.residual))))
     return {
         "tiles": book.tiles(f, fitted, checkpointed(curve.trade_check(trades, fitted)), curve.valid_trades(spark, d)), "core": book.core(f), "others": book.also_trading(f, max(top - 2, 3)), "waiting": book.waiting(f),
-        "switches": book.switches(f, *book_queries._switch_parts(spark, d, f), top), "shape": shape.as_of(spreads, shape.reversion(spreads)), "curve": f.residual, "carried": book.carried_trades(f, trades),
+        "switches": book_queries.switches(spark, d, f, top), "shape": shape.as_of(spreads, shape.reversion(spreads)), "curve": f.residual, "carried": book.carried_trades(f, trades),
         "carry": market.carry(f.residual, f.bonds, rates, market.entry_gaps(forecast, gap)), "forecast": forecast, "gap": gap, "funding": rates,
     }
 

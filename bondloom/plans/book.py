@@ -10,7 +10,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from bondloom.plans import curve
+from bondloom.plans import curve, relative_value
 
 # Fixed values.
 MOST_SPREAD, MOST_CARRIED, ENDS, SWITCHES = 50.0, 10, 4, 6
@@ -107,23 +107,20 @@ def switch_verdict(capture: Column, cost: Column) -> Column:
     return F.when(capture.isNull(), "not measured yet").when(capture > cost, "clears costs").when(capture != 0, "below costs").otherwise("weak signal")
 
 
-def switches(facts: Facts, pairs: DataFrame, named_bonds: DataFrame, captures: DataFrame, top: int = SWITCHES) -> DataFrame:
-    """The ``top`` switches of each day by size of score, both legs in the core book.
+def switch_legs(facts: Facts) -> DataFrame:
+    """(obs_date, isin, cost, label): the core book, whose bonds are switched."""
+    return scored(facts).where("is_core").select("obs_date", "isin", F.col("cost_bp").alias("cost"), F.coalesce("series_label", "isin").alias("label"))
 
-    ``pairs`` are scored spreads by pair number. A trade costs half of each leg's spread; a leg
-    without a two-way quote counts as nothing.
+
+def switches(legs: DataFrame, pairs: DataFrame, named_bonds: DataFrame, captures: DataFrame) -> DataFrame:
+    """The widest switches of each day, both legs in the core book.
+
+    ``pairs`` are the placed rows of ``relative_value.switch_book`` for these ``legs``. A trade
+    costs half of each leg's spread; a leg without a two-way quote counts as nothing.
     """
-    legs = scored(facts).where("is_core").select("obs_date", "isin", F.col("cost_bp").alias("cost"))
-    ids = legs.join(named_bonds.select("isin", "id"), "isin").select("obs_date", "id", "isin", "cost")
-    # Core legs meet by day, so only their pairs are looked up among all.
-    a, b = (ids.select("obs_date", *[F.col(c).alias(f"{c}_{x}") for c in ("id", "isin", "cost")]) for x in "ab")
-    both = a.join(b, "obs_date").where("id_a < id_b").withColumn("pair", F.shiftleft("id_a", 32) + F.col("id_b"))
-    rows = both.join(pairs.select("obs_date", "pair", "dislocation_bp", "zscore"), ["obs_date", "pair"])
-    place = F.row_number().over(Window.partitionBy("obs_date").orderBy(F.desc(F.abs("zscore")), "isin_a", "isin_b"))
-    rows = rows.withColumn("place", place).where(F.col("place") <= top)
-    label = facts.bonds.select("isin", F.coalesce("series_label", "isin").alias("label"))
+    rows = relative_value.named(pairs.select("obs_date", "pair", "place", "dislocation_bp", "zscore"), named_bonds)
     for x in "ab":
-        rows = rows.join(label.select(F.col("isin").alias(f"isin_{x}"), F.col("label").alias(f"label_{x}")), f"isin_{x}")
+        rows = rows.join(legs.select("obs_date", *[F.col(c).alias(f"{c}_{x}") for c in ("isin", "cost", "label")]), ["obs_date", f"isin_{x}"])
     cheap_a = F.col("zscore") >= 0
     cost = (F.coalesce("cost_a", F.lit(0.0)) + F.coalesce("cost_b", F.lit(0.0))) / 2
     rows = rows.withColumn("steps", capture_steps(captures).scalar())

@@ -59,16 +59,32 @@ def _last_before(facts: DataFrame, day: str, value: Column, days: DataFrame) ->
     return rows.select("isin", "asof", F.col("_f.d").alias("day"), F.col("_f.v").alias("value"))
 
 
-def liquidity(trades: DataFrame, auctions: DataFrame, days: DataFrame) -> DataFrame:
-    """Trading and auction facts of each bond as of each scoring day, and its tier."""
+def traded(trades: DataFrame, days: DataFrame) -> DataFrame:
+    """(asof, isin, turnover_lkr, n_trades, days_traded) of the trailing days as of each scoring day."""
     bonds = trades.where("security_type = 'TBond'")
     dates = bonds.select("obs_date").distinct()
     last = influenced(dates, "obs_date", days, LAG_CAP).groupBy("asof").agg(F.max("obs_date").alias("through"))
     anchors = days.join(last, "asof", "left").withColumn("through", F.coalesce("through", "asof"))
     seen = influenced(bonds, "obs_date", days, TRADE_DAYS + LAG_CAP).join(anchors, "asof")
     seen = seen.where((F.col("obs_date") <= F.col("through")) & (F.date_diff("through", "obs_date") < TRADE_DAYS))
-    flow = seen.groupBy("asof", "isin").agg(F.coalesce(F.sum("volume_lkr"), F.lit(0)).alias("turnover_lkr"), F.coalesce(F.sum("n_trades"), F.lit(0)).alias("n_trades"), F.count(F.lit(1)).alias("days_traded"))
-    sold = influenced(auctions.select("isin", "auction_date"), "auction_date", days, BENCH_DAYS).groupBy("asof", "isin").agg(F.min(F.date_diff("asof", "auction_date")).alias("days_since_auction"))
+    return seen.groupBy("asof", "isin").agg(F.coalesce(F.sum("volume_lkr"), F.lit(0)).alias("turnover_lkr"), F.coalesce(F.sum("n_trades"), F.lit(0)).alias("n_trades"), F.count(F.lit(1)).alias("days_traded"))
+
+
+def auctioned(auctions: DataFrame, days: DataFrame) -> DataFrame:
+    """(asof, isin, days_since_auction) of the bonds auctioned not long before each scoring day."""
+    return influenced(auctions.select("isin", "auction_date"), "auction_date", days, BENCH_DAYS).groupBy("asof", "isin").agg(F.min(F.date_diff("asof", "auction_date")).alias("days_since_auction"))
+
+
+def core_bonds(trades: DataFrame, auctions: DataFrame, days: DataFrame) -> DataFrame:
+    """(asof, isin, tier): the core tier of ``liquidity`` alone, which needs no last prints."""
+    often = traded(trades, days).where(F.col("days_traded") >= BENCH_TRADES).select("asof", "isin")
+    return often.join(auctioned(auctions, days).select("asof", "isin"), ["asof", "isin"]).withColumn("tier", F.lit("core"))
+
+
+def liquidity(trades: DataFrame, auctions: DataFrame, days: DataFrame) -> DataFrame:
+    """Trading and auction facts of each bond as of each scoring day, and its tier."""
+    bonds = trades.where("security_type = 'TBond'")
+    flow, sold = traded(trades, days), auctioned(auctions, days)
     known = _last_before(bonds.where("wavg_yield is not null"), "obs_date", F.col("wavg_yield"), days)
     known = known.select("asof", "isin", F.date_diff("asof", "day").alias("days_since_trade"), F.col("value").alias("last_trade_yield"))
     cover = _last_before(auctions.where("kind = 'auction' and bids_lkr is not null and offered_lkr > 0"), "auction_date", F.col("bids_lkr") / F.col("offered_lkr"), days)

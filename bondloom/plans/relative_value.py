@@ -153,3 +153,45 @@ def switch_reversion(residual: DataFrame, bonds: DataFrame) -> DataFrame:
         yield pa.RecordBatch.from_pydict(gains.rows())
 
     return captured(switches.swept(residual, bonds, RULE, take, "threshold double, n long, total double"))
+
+
+def switch_book(residual: DataFrame, bonds: DataFrame, dealt: DataFrame, top: int) -> DataFrame:
+    """The ``top`` switches of each day by size of score, then by pair, whose legs are both in
+    ``dealt`` (obs_date, isin): pair, obs_date, dislocation_bp, zscore, place. Beside them, on rows
+    without a day, what ``captured`` takes, from the same pass over all pairs.
+
+    A block sends on the ``top`` of its own pairs for each day, so a day's rows are few.
+    """
+    kinds = {"pair": "int64", "obs_date": "int32", "dislocation_bp": "float64", "zscore": "float64"}
+
+    def highest(rows: list[dict[str, np.ndarray]]) -> dict[str, np.ndarray]:
+        if not rows:
+            return {c: np.zeros(0, kind) for c, kind in kinds.items()}
+        all_ = {c: np.concatenate([x[c] for x in rows]) for c in kinds}
+        order = np.lexsort((all_["pair"], -np.abs(all_["zscore"]), all_["obs_date"]))
+        day = all_["obs_date"][order]
+        nth = np.arange(len(day)) - np.searchsorted(day, day)
+        return {c: v[order[nth < top]] for c, v in all_.items()}
+
+    def take(blocks: Iterator[switches.Scored]) -> Iterator[pa.RecordBatch]:
+        gains, kept, size = Gains(), [], 0
+        for x in blocks:
+            gains.add(x)
+            if x.marked is not None and x.marked.any():
+                on = x.marked
+                kept.append({"pair": x.pair()[on], "obs_date": x.day[on].astype("int32"), "dislocation_bp": x.gone[on], "zscore": x.z[on]})
+                size += int(on.sum())
+            if size > most:
+                kept, size = [highest(kept)], 0
+        rows, sums = highest(kept), gains.rows()
+        n, m = len(rows["pair"]), len(sums["n"])
+        made = {c: pa.concat_arrays([pa.array(v), pa.nulls(m, pa.array(v).type)]) for c, v in rows.items()}
+        made["obs_date"] = made["obs_date"].cast(pa.date32())
+        made |= {c: pa.array([None] * n + v, pa.int64() if c == "n" else pa.float64()) for c, v in sums.items()}
+        yield pa.RecordBatch.from_pydict(made)
+
+    most = 1 << 20  # rows that a block holds before it drops those behind
+    schema = "pair long, obs_date date, dislocation_bp double, zscore double, threshold double, n long, total double"
+    found = switches.swept(residual, bonds, RULE, take, schema, dealt)
+    place = F.row_number().over(Window.partitionBy("obs_date").orderBy(F.desc(F.abs("zscore")), "pair"))
+    return found.withColumn("place", place).where(F.col("obs_date").isNull() | (F.col("place") <= top))

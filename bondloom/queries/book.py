@@ -32,15 +32,21 @@ def book_waiting(spark: SparkSession, d: str) -> DataFrame:
     return book.waiting(facts(spark, d))
 
 
-def _switch_parts(spark: SparkSession, d: str, f: book.Facts) -> tuple[DataFrame, DataFrame, DataFrame]:
+def switches(spark: SparkSession, d: str, f: book.Facts, top: int = book.SWITCHES) -> DataFrame:
     bonds = checkpointed(relative_value.pair_bonds(f.residual, table(spark, d, "auctions")))
-    pairs = relative_value.switch_signals(f.residual.select("obs_date", "isin", "tau", "residual_bp"), bonds)
-    return pairs, bonds, checkpointed(relative_value.switch_reversion(f.residual, bonds))
+    legs = checkpointed(book.switch_legs(f))
+    found = checkpointed(relative_value.switch_book(f.residual, bonds, legs, top))
+    return book.switches(legs, found.where("obs_date is not null"), bonds, relative_value.captured(found.where("obs_date is null")))
 
 
 def book_switches(spark: SparkSession, d: str) -> DataFrame:
-    f = facts(spark, d)
-    return r4(r4(book.switches(f, *_switch_parts(spark, d, f)), "gap_bp", "zscore", digits=3), "cost_bp", "capture_bp", digits=6)
+    """Only what the core book's switches need: the parts are read once, so none but the residuals is written."""
+    residual = checkpointed(curve.residuals(curve.usable_quotes(spark, d)).select("obs_date", "isin", "tau", "residual_bp"))
+    days = broadcast_if_small(checkpointed(market.scoring_days(residual)))
+    quotes = curve.valid_quotes(spark, d).join(days.select(F.col("asof").alias("obs_date")), "obs_date")
+    core = market.core_bonds(curve.valid_trades(spark, d), market.valid_auctions(spark, d), days)
+    f = book.Facts(residual, relative_value.bond_signals(residual), quotes, core, table(spark, d, "bonds"))
+    return r4(r4(switches(spark, d, f), "gap_bp", "zscore", digits=3), "cost_bp", "capture_bp", digits=6)
 
 
 def book_carried_trades(spark: SparkSession, d: str) -> DataFrame:

@@ -127,3 +127,23 @@ def test_buckets_equal_their_definition_and_pair_rows_stay_in_memory(spark, held
     for h in (5, 10, 20):
         assert {b: r[f"fwd{h}"] for b, r in got.items()} == pytest.approx(by[f"fwd{h}"].mean().to_dict())
     assert bytes_written < 5 * BONDS * (BONDS - 1) / 2 * DAYS
+
+
+def test_widest_switches_equal_their_definition_and_pair_rows_stay_in_memory(spark, held, expected):
+    """The three widest of each day among bonds that are dealt in on it, and all captures beside them."""
+    core = {(f"b{n:02}", day(k)) for n in range(BONDS) for k in range(DAYS) if (n * 7 + k) % 5 == 0}
+    dealt = spark.createDataFrame([(when, isin) for isin, when in core], "obs_date date, isin string")
+    got = []
+    bytes_written = shuffled(spark, lambda: got.extend(relative_value.switch_book(*held, dealt, 3).collect()))
+    ids = {r["isin"]: r["id"] for r in held[1].collect()}
+    by_day = {}
+    for (a, b), x in expected.items():
+        for when, z in x.z.items():
+            if (a, when) in core and (b, when) in core:
+                by_day.setdefault(when, []).append((-abs(z), (ids[a] << 32) + ids[b]))
+    wanted = {(when, k + 1): pair for when, found in by_day.items() for k, (_, pair) in enumerate(sorted(found)[:3])}
+    assert {(r["obs_date"], r["place"]): r["pair"] for r in got if r["obs_date"]} == wanted and wanted
+    sums = spark.createDataFrame([r for r in got if not r["obs_date"]], "pair long, obs_date date, dislocation_bp double, zscore double, threshold double, n long, total double, place int")
+    captured, alone = ({r["threshold"]: r["capture_bp"] for r in df.collect()} for df in (relative_value.captured(sums), relative_value.switch_reversion(*held)))
+    assert captured == pytest.approx(alone)
+    assert bytes_written < 5 * BONDS * (BONDS - 1) / 2 * DAYS
