@@ -2,6 +2,7 @@
 
 import datetime as dt
 import random
+from pathlib import Path
 
 import duckdb
 import numpy as np
@@ -9,6 +10,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
+from bondloom.operators import switches
 from bondloom.plans import relative_value, validation
 from bondloom.queries import book as book_queries
 from bondloom.session import checkpointed
@@ -147,3 +149,32 @@ def test_widest_switches_equal_their_definition_and_pair_rows_stay_in_memory(spa
     captured, alone = ({r["threshold"]: r["capture_bp"] for r in df.collect()} for df in (relative_value.captured(sums), relative_value.switch_reversion(*held)))
     assert captured == pytest.approx(alone)
     assert bytes_written < 5 * BONDS * (BONDS - 1) / 2 * DAYS
+
+
+def test_what_is_written_and_scored_is_the_same_however_many_groups_bonds_have(spark, held, monkeypatch):
+    """Series sent once to each block would grow with the bonds' number times the groups'."""
+    folder = Path(spark.sparkContext.getCheckpointDir().removeprefix("file:"))
+
+    def run():
+        got = []
+        kept = {p for p in folder.rglob("part-*")}
+        written = shuffled(spark, lambda: got.append(relative_value.switch_signals(*held, digits=3).toPandas()))
+        written += sum(p.stat().st_size for p in folder.rglob("part-*") if p not in kept)
+        return written, got[0].sort_values(["pair", "obs_date"], ignore_index=True)
+
+    few, expected = run()
+    monkeypatch.setattr(switches, "MOST_BONDS", 5)
+    many, got = run()
+    pd.testing.assert_frame_equal(got, expected)
+    assert many < 1.5 * few
+
+
+def test_scores_are_named_once_a_pair(spark, held):
+    """Bonds are joined to rows of pairs, of which each holds all its days."""
+    residual, bonds = held
+    series = relative_value.named(relative_value.switch_series(residual, bonds, digits=3), bonds)
+    count, pairs = series.count(), series.select("isin_a", "isin_b").distinct().count()
+    assert count == pairs == BONDS * (BONDS - 1) // 2
+    columns = ["isin_a", "isin_b", "obs_date", "spread_bp", "zscore", "n_window"]
+    one, other = (df.select(columns).toPandas().sort_values(columns[:3], ignore_index=True) for df in (relative_value.daily(series), relative_value.named(relative_value.switch_signals(residual, bonds, digits=3), bonds)))
+    pd.testing.assert_frame_equal(one, other)
